@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import fingerprints, packing, resharding
+from lakeshift.llm import decontamination, fingerprints, line_dedup, packing, resharding
 
 
 def queries() -> dict:
-    return {"op1_syncmers": fingerprints.op1_syncmers, "op6_pack": packing.op6_pack, "op7_reshard": resharding.op7_reshard}
+    return {"op1_syncmers": fingerprints.op1_syncmers, "op3_line_dedup": line_dedup.op3_line_dedup, "op6_pack": packing.op6_pack, "op7_reshard": resharding.op7_reshard, "op9_decontaminate": decontamination.op9_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_line_dedup": line_dedup.OP3_SQL}
