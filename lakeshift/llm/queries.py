@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import decontamination, fingerprints, line_dedup, packing, resharding
+from lakeshift.llm import decontamination, fingerprints, language_model, line_dedup, packing, quality, resharding, simhash
 
 
 def queries() -> dict:
-    return {"op1_syncmers": fingerprints.op1_syncmers, "op3_line_dedup": line_dedup.op3_line_dedup, "op6_pack": packing.op6_pack, "op7_reshard": resharding.op7_reshard, "op9_decontaminate": decontamination.op9_decontaminate}
+    return {
+        "op1_syncmers": fingerprints.op1_syncmers,
+        "op2_backoff": language_model.op2_backoff,
+        "op3_line_dedup": line_dedup.op3_line_dedup,
+        "op4_quality": quality.op4_quality,
+        "op6_pack": packing.op6_pack,
+        "op7_reshard": resharding.op7_reshard,
+        "op8_simhash": simhash.op8_simhash,
+        "op9_decontaminate": decontamination.op9_decontaminate,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
