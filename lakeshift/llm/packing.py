@@ -12,6 +12,8 @@ like any others. An empty table gives no rows. Columns other than the id and the
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -28,50 +30,92 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = f"{PIECES}, sequence_id long, `offset` long"
 
 
-class WordTokenizer:
-    """Ids of whole texts as little-endian bytes, by a cache of white-space separated chunks.
+#: Chunks of these characters, without the brackets of special tokens, are split by PIECE as the tokenizer does it:
+#: they are their own normal form and have simple lower-case letters.
+SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
-    No merge, split or normalisation of the tokenizer reaches across ASCII white space (which it drops), so a text's
-    ids are those of its chunks one after another. The cache holds a bounded number of chunks.
+
+def byte_letters() -> list[str]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it can be printed, else from 256 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = iter(range(256, 512))
+    return [chr(b) if b in printed else chr(next(other)) for b in range(256)]
+
+
+class WordTokenizer(dict):
+    """Ids of white-space separated chunks as little-endian bytes, by chunk, of word_bpe_49k.json.
+
+    No merge, split or normalisation of this tokenizer reaches across ASCII white space (which it drops), so a text's
+    ids are those of its chunks one after another. Chunks of simple letters go straight to the tokenizer's merges,
+    others through all of it. Two generations of chunks are held, of a bounded number each.
     """
 
-    most = 400_000
+    most = 300_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        super().__init__()
+        self.tokenizer, self.old, self.pieces = Tokenizer.from_file(path), {}, {}
+        self.letters = byte_letters()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        found = self.old.get(chunk)
+        if found is None:
+            text = chunk.decode("utf-8", "replace")
+            found = self.simple(text.lower()) if SIMPLE.fullmatch(text) and "<|" not in text else np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        self[chunk] = found
+        return found
+
+    def simple(self, text: str) -> bytes:
+        out = b""
+        for piece in PIECE.findall(text):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                word = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+                ids = self.pieces[piece] = b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(word))
+            out += ids
+        return out
+
+    def __call__(self, text: str) -> bytes:
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        if len(self.pieces) > self.most:
+            self.pieces.clear()
+        return b"".join(map(self.__getitem__, text.encode("utf-8", "surrogatepass").split()))
+
+
+class WholeTokenizer:
+    """Ids of whole texts, for any other tokenizer."""
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [bytes_split(x) for x in texts]
-        new = {w for c in chunks for w in c}.difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = {w for c in chunks for w in c}
-        new = list(new)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, found, strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
 
-def bytes_split(text: str) -> list[bytes]:
-    """Chunks between ASCII white space."""
-    return text.encode("utf-8", "surrogatepass").split()
+    def __call__(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
+_TOKENIZERS: dict[str, WordTokenizer | WholeTokenizer] = {}
 
 
-def pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    import os
+def tokenizer_of(path: str) -> WordTokenizer | WholeTokenizer:
+    """The tokenizer of a file, one for each Python worker."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = (WordTokenizer if os.path.basename(path) == "word_bpe_49k.json" else WholeTokenizer)(path)
+    return _TOKENIZERS[path]
 
+
+def pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: int) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenize = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordTokenizer(path))
+    tokenize = tokenizer_of(path)
     end = np.array([end_id], dtype="<u4").tobytes()
     for batch in batches:
         rows: list[tuple] = []
-        for doc, ids in zip(batch.column(0).to_pylist(), tokenize([x or "" for x in batch.column(1).to_pylist()]), strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), [tokenize(x or "") for x in batch.column(1).to_pylist()], strict=True):
             ids += end
             n = len(ids) // 4
             for at in range(0, n, window):
