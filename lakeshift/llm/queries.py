@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import decontamination, fingerprints, language_model, line_dedup, packing, quality, resharding, simhash
+from lakeshift.llm import decontamination, fingerprints, language_model, line_dedup, packing, quality, resharding, simhash, substring_dedup
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_backoff": language_model.op2_backoff,
         "op3_line_dedup": line_dedup.op3_line_dedup,
         "op4_quality": quality.op4_quality,
+        "op5_passages": substring_dedup.op5_passages,
         "op6_pack": packing.op6_pack,
         "op7_reshard": resharding.op7_reshard,
         "op8_simhash": simhash.op8_simhash,
