@@ -26,11 +26,17 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; one of this machine only where none is set, as in tests."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+    return context.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Writes the rows to the cluster's shared checkpoint folder and cuts the lineage there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -93,6 +93,14 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
     return plain.select("id", "rk", F.col("item").alias("item_id"), "n_items", "n_windows", "item_windows", "first_token", "n_slots", "n_conflicts")
 
 
+def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
+    """The rows of docs that hold no passage of the benchmark."""
+    found = matches(docs, bench, id_col, text_col, **parameters).select(F.col("id").alias("_id"), F.col("rk").alias("_rk")).distinct().hint("shuffle_hash")
+    rk = F.xxhash64(F.col(id_col).isNull(), F.coalesce(F.col(text_col), F.lit("")))
+    rows = docs.withColumn("_row", rk)
+    return rows.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_rk")), "left_anti").drop("_row")
+
+
 def consistent(rows: DataFrame, slotted: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
     """Of the matches with placeholders, those whose slots have one value in the document for each in the item."""
     same = lambda a, b: F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.rk") == F.col(f"{b}.rk"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from lakeshift.llm import decontamination, fingerprints, language_model, line_dedup, packing, quality, resharding, simhash, substring_dedup
+import corpus_pipeline
+from lakeshift.llm import chat, decontamination, fingerprints, language_model, line_dedup, packing, quality, resharding, simhash, substring_dedup
 
 
 def queries() -> dict:
@@ -16,6 +17,8 @@ def queries() -> dict:
         "op7_reshard": resharding.op7_reshard,
         "op8_simhash": simhash.op8_simhash,
         "op9_decontaminate": decontamination.op9_decontaminate,
+        "op10_chat": chat.op10_chat,
+        "pipeline": corpus_pipeline.run,
     }
 
 

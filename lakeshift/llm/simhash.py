@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import checkpointed, components, documents, small_batches
+from lakeshift.llm.common import checkpointed, components, documents, shuffle_partitions, small_batches
 
 SEED, WORDS, BITS, SHARED = 42, 3, 3, 5
 POSITIONS = [p for p in combinations(range(8), 4) if p[0] ^ p[1] ^ p[2] ^ p[3] == 0]
@@ -61,7 +61,7 @@ def fingerprint(text: str) -> int:
 def with_fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         f = np.array([fingerprint(x or "") for x in batch.column(1).to_pylist()], dtype="u8")
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(f.view("i8"))], names=["id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(f.view("i8"))], names=["id", "rk", "fp"])
 
 
 def masked(positions: tuple[int, ...]) -> int:
@@ -74,13 +74,11 @@ def shared_bytes(a: Column, b: Column) -> Column:
     return sum((x.bitwiseAND(F.lit(masked((p,)))) == 0).cast("int") for p in range(8))
 
 
-def forest(fps: np.ndarray, ids: np.ndarray, bits: int, block: int = 2048) -> list[tuple[int, int]]:
-    """Links (by ids) that connect what is linked: breadth-first from each fingerprint not reached yet.
+def forest(fps: np.ndarray, bits: int, block: int = 2048) -> list[tuple[int, int]]:
+    """Places of links that connect what is linked: breadth-first from each fingerprint not reached yet.
 
     Each fingerprint is compared once with those not reached so far, in blocks, so memory stays linear.
     """
-    order = np.argsort(ids, kind="stable")
-    fps, ids = fps[order], ids[order]
     open_, links = np.arange(len(fps)), []
     while len(open_):
         front, open_ = open_[:1], open_[1:]
@@ -95,53 +93,72 @@ def forest(fps: np.ndarray, ids: np.ndarray, bits: int, block: int = 2048) -> li
                     hit = near.any(axis=0)
                     reached[part[hit]] = some[near[:, hit].argmax(axis=0)]
             new = reached >= 0
-            links += zip(ids[reached[new]].tolist(), ids[open_[new]].tolist(), strict=True)
+            links += zip(reached[new].tolist(), open_[new].tolist(), strict=True)
             front, open_ = open_[new], open_[~new]
     return links
 
 
 def long_list(table: pa.Table, bits: int) -> pa.Table:
-    found = forest(table["fp"].to_numpy().view("u8"), table["rep"].to_numpy(), bits)
-    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+    fps = table["fp"].to_numpy()
+    found = np.array(forest(fps.view("u8"), bits), "i8").reshape(-1, 2)
+    return pa.table({"a": fps[found[:, 0]], "b": fps[found[:, 1]]})
 
 
 def near_links(nodes: DataFrame, bits: int = BITS, pairwise: int = PAIRWISE, longest: int = LONGEST) -> DataFrame:
-    """Links (a, b) that connect all nodes (fp, rep) at most ``bits`` (up to 3) apart; fp is unique."""
+    """Links (a, b) that connect all fingerprints (column fp, unique) at most ``bits`` (up to 3) apart."""
     masks = F.array(*[F.lit(masked(p)) for p in POSITIONS])
-    postings = nodes.select("fp", "rep", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("q", "v"))
+    postings = nodes.select("fp", F.posexplode(F.transform(masks, lambda m: m.bitwiseAND(F.col("fp")))).alias("q", "v"))
     lists = checkpointed(postings.groupBy("q", "v").agg(F.count("*").alias("n")).where("n > 1"))
     postings = postings.join(lists, ["q", "v"])
-    short = postings.where(F.col("n") <= pairwise).select("q", "v", "fp", "rep")
-    other = short.select("q", "v", F.col("fp").alias("fp2"), F.col("rep").alias("rep2"))
+    short = postings.where(F.col("n") <= pairwise).select("q", "v", "fp")
+    other = short.select("q", "v", F.col("fp").alias("fp2"))
     pairs = short.join(other, ["q", "v"]).where(F.col("fp") < F.col("fp2"))
     pairs = pairs.where(shared_bytes(F.col("fp"), F.col("fp2")) >= 8 - bits)
-    links = pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= bits).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
+    links = pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= bits).select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
     many = lists.agg(F.max("n")).first()[0] or 0
     if many > pairwise:
-        long = postings.where(F.col("n") > pairwise).select(F.concat_ws(",", "q", "v").alias("key"), F.array([F.array([F.lit(x) for x in p]) for p in POSITIONS])[F.col("q")].alias("used"), "fp", "rep", "n")
+        long = postings.where(F.col("n") > pairwise).select(F.concat_ws(",", "q", "v").alias("key"), F.array([F.array([F.lit(x) for x in p]) for p in POSITIONS])[F.col("q")].alias("used"), "fp", "n")
         for _ in range(4):
             if many <= longest:
                 break
             # of the positions left, one more byte is shared: at most three of them differ
-            spread = long.where(F.col("n") > longest).select("key", F.explode(F.array_except(F.array(*[F.lit(x) for x in range(8)]), "used")).alias("p"), "used", "fp", "rep")
-            spread = spread.select(F.concat_ws(",", "key", "p", F.shiftrightunsigned("fp", F.col("p") * 8).bitwiseAND(F.lit(255))).alias("key"), F.array_append("used", F.col("p")).alias("used"), "fp", "rep")
-            spread = spread.join(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("key", "used", "fp", "rep", "n")
+            spread = long.where(F.col("n") > longest).select("key", F.explode(F.array_except(F.array(*[F.lit(x) for x in range(8)]), "used")).alias("p"), "used", "fp")
+            spread = spread.select(F.concat_ws(",", "key", "p", F.shiftrightunsigned("fp", F.col("p") * 8).bitwiseAND(F.lit(255))).alias("key"), F.array_append("used", F.col("p")).alias("used"), "fp")
+            spread = spread.join(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("key", "used", "fp", "n")
             long = checkpointed(long.where(F.col("n") <= longest).unionByName(spread))
             many = long.agg(F.max("n")).first()[0] or 0
             if not long.where(F.col("n") > longest).where(F.size("used") < 5 + (8 - SHARED) - bits).take(1):
                 break
-        links = links.unionByName(long.select("key", "fp", "rep").groupBy("key").applyInArrow(lambda t: long_list(t, bits), "a long, b long"))
+        links = links.unionByName(long.select("key", "fp").groupBy("key").applyInArrow(lambda t: long_list(t, bits), "a long, b long"))
     return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """(id, fp, component) for each row: the least id reachable over links; null if no member has an id."""
+    """(id, rk, fp, component, root) for each row.
+
+    component: the least id reachable over links, null if no member has an id. rk: a hash of the text, 0 for null.
+    root: the least fingerprint of the component.
+    """
     small_batches(docs.sparkSession)
-    marked = checkpointed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(with_fingerprints, "id long, fp long"))
-    nodes = checkpointed(marked.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("rep")))
+    rk = F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).otherwise(0)
+    marked = checkpointed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), rk.alias("rk")).mapInArrow(with_fingerprints, "id long, rk long, fp long"))
+    # dealt anew: each task then makes a bounded number of postings
+    nodes = checkpointed(marked.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("rep")).repartition(shuffle_partitions(docs.sparkSession), "fp"))
     found = components(near_links(nodes, bits))
-    of_fp = nodes.join(found, nodes.rep == found.node, "left").select("fp", F.coalesce("component", "rep").alias("c"))
-    return marked.join(of_fp, "fp").select("id", "fp", F.when(F.col("c") != NO_ID, F.col("c")).alias("component"))
+    rooted = nodes.join(found, nodes.fp == found.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("rep").alias("c"))
+    of_fp = rooted.join(least, "root").select("fp", "root", F.when(F.col("c") != NO_ID, F.col("c")).alias("component"))
+    return marked.join(of_fp, "fp").select("id", "rk", "fp", "component", "root")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
+    """The rows of docs of least id (then of least text hash) in each component, one row each."""
+    found = near_duplicates(docs, id_col, text_col, bits)
+    kept = found.where(F.col("id").eqNullSafe(F.col("component"))).groupBy("root").agg(F.min(F.struct("id", "rk")).alias("k")).select("k.id", "k.rk").distinct()
+    rk = F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).otherwise(0)
+    rows = docs.withColumn("_rk", rk).withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)))
+    side = kept.select(F.coalesce("id", F.lit(NO_ID)).alias("_id"), F.col("rk").alias("_rk")).hint("shuffle_hash")
+    return rows.join(side, ["_id", "_rk"], "left_semi").dropDuplicates(["_id", "_rk"]).drop("_id", "_rk")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
