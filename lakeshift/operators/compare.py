@@ -75,4 +75,4 @@ def compare_schemas(source: dict[str, DataFrame], target: dict[str, DataFrame])
 
 def counts_by_side(objects: DataFrame) -> DataFrame:
     """(datname, kind, source, target): how many objects (datname, side, kind) each database has on either side."""
-    return objects.groupBy("datname", "kind").pivot("side", ["source", "target"]).agg(F.count("*")).na.fill(0, ["source", "target"])
+    return objects.groupBy("datname", "kind").pivot("side", ["source", "target"]).agg(F.count(F.lit(1))).na.fill(0, ["source", "target"])

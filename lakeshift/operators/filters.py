@@ -150,7 +150,8 @@ def is_filtered(items: DataFrame, filtered: DataFrame) -> DataFrame:
     alone = filtered.where("oid > 0").select("oid", F.lit(True).alias("by_oid")).distinct()
     named = filtered.where("restore_list_name IS NOT NULL").select("restore_list_name", F.lit(True).alias("by_name")).distinct()
     x = items.join(pair, ["catoid", "oid"], "left").join(alone, "oid", "left").join(named, "restore_list_name", "left")
-    flag = F.coalesce(F.col("by_pair"), F.col("by_oid") & (F.col("catoid") == 0), F.col("by_name") & (F.col("oid") == 0), F.lit(False))
+    has = lambda c: F.coalesce(c, F.lit(False))
+    flag = has("by_pair") | (has("by_oid") & (F.col("catoid") == 0)) | (has("by_name") & (F.col("oid") == 0))
     return x.withColumn("filtered", flag).drop("by_pair", "by_oid", "by_name")
 
 
