@@ -37,6 +37,11 @@ TOTALS = "block int, bucket int, totals binary, tokens long, words long"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_failures long"
 
 
+#: Bits of a pair's hash beyond those of the number of the corpus' bytes: one lookup in a million at most meets another
+#: pair's count. Words have all 64 bits.
+SPARE_BITS = 20
+
+
 class Hashes(dict):
     """Words' hashes; odd, as those of pairs are even."""
 
@@ -58,8 +63,11 @@ def unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
-def walked(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all texts, one after another: the tokens, pairs of the token before and the token, and each text's length."""
+def walked(texts: list[str | None], bits: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all texts, one after another: the tokens, pairs of the token before and the token, and each text's length.
+
+    Pairs' hashes have ``bits`` high bits, the others are zero.
+    """
     all_, n = [], []
     for text in texts:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -79,7 +87,7 @@ def walked(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     pairs = (before * M1) ^ (tokens * M2)
     pairs ^= pairs >> np.uint64(31)
     pairs *= M1
-    return tokens, (pairs ^ (pairs >> np.uint64(29))) & ~np.uint64(1), n
+    return tokens, (pairs ^ (pairs >> np.uint64(29))) & np.uint64((2**64 - 2) & ~((1 << (64 - bits)) - 1)), n
 
 
 def in_order(table: pa.Table) -> pa.Table:
@@ -93,24 +101,37 @@ def bounds(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, np.array(edges, "u8")), [len(hashes)]])
 
 
-def count_block(table: pa.Table, buckets: int) -> pa.Table:
+def packed_hashes(hashes: np.ndarray, bits: int) -> bytes:
+    """Sorted hashes: words', and pairs' without their zero bits, as differences."""
+    word = (hashes & np.uint64(1)).astype(bool)
+    delta = lambda x: np.diff(x, prepend=np.uint64(0)).astype("<u8")
+    words = packed(delta(hashes[word]))
+    return len(words).to_bytes(4, "little") + words + packed(delta(hashes[~word] >> np.uint64(64 - bits)))
+
+
+def unpacked_hashes(data: bytes, bits: int) -> np.ndarray:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    words, pairs = (np.cumsum(unpacked(x, "<u8"), dtype="u8") for x in (data[4:cut], data[cut:]))
+    return np.sort(np.concatenate([words, pairs << np.uint64(64 - bits)]), kind="stable")
+
+
+def count_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
     table = in_order(table)
-    tokens, pairs, n = walked(table["text"].to_pylist())
+    tokens, pairs, n = walked(table["text"].to_pylist(), bits)
     taught = np.repeat(~table["held_out"].to_numpy(), n)
     hashes, back = np.unique(np.concatenate([tokens, pairs]), return_inverse=True)
     counts = np.bincount(back[np.concatenate([taught, taught])], minlength=len(hashes)).astype("<u4")
     edges, block = bounds(hashes, buckets), table["block"][0].as_py()
     own = [k for k in range(buckets) if edges[k] < edges[k + 1]]
-    delta = lambda x: np.diff(x, prepend=np.uint64(0)).astype("<u8")
     return pa.table([
         pa.array(own, pa.int32()), pa.array([block] * len(own), pa.int32()),
-        pa.array([packed(delta(hashes[edges[k] : edges[k + 1]])) for k in own], pa.binary()),
+        pa.array([packed_hashes(hashes[edges[k] : edges[k + 1]], bits) for k in own], pa.binary()),
         pa.array([packed(counts[edges[k] : edges[k + 1]]) for k in own], pa.binary()),
     ], names=["bucket", "block", "hashes", "counts"])
 
 
-def add_up(table: pa.Table) -> pa.Table:
-    parts = [np.cumsum(unpacked(x, "<u8"), dtype="u8") for x in table["hashes"].to_pylist()]
+def add_up(table: pa.Table, bits: int) -> pa.Table:
+    parts = [unpacked_hashes(x, bits) for x in table["hashes"].to_pylist()]
     counts = np.concatenate([unpacked(x, "<u4") for x in table["counts"].to_pylist()])
     hashes, back = np.unique(np.concatenate(parts), return_inverse=True)
     total = np.bincount(back, counts).astype("<u8")
@@ -145,9 +166,9 @@ def walk(tokens: np.ndarray, pairs: np.ndarray, n: np.ndarray, count_of: np.ndar
     return add(root), add(np.where(fails, failure, arc)), add((c > 0).astype("i8")), add(fails.astype("i8"))
 
 
-def score_block(docs: pa.Table, totals: pa.Table, n_tokens: int, n_words: int, prior: float) -> pa.Table:
+def score_block(docs: pa.Table, totals: pa.Table, n_tokens: int, n_words: int, prior: float, bits: int) -> pa.Table:
     docs = in_order(docs)
-    tokens, pairs, n = walked(docs["text"].to_pylist())
+    tokens, pairs, n = walked(docs["text"].to_pylist(), bits)
     hashes, back = np.unique(np.concatenate([tokens, pairs]), return_inverse=True)
     count_of = np.concatenate([unpacked(x, "<u8") for x in totals.sort_by("bucket")["totals"].to_pylist()])
     if len(count_of) != len(hashes):
@@ -167,11 +188,12 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     size = rows.agg(F.sum("n")).first()[0] or 0
     blocks, buckets = max(1, -(-size // block_bytes)), max(1, -(-size // bucket_bytes))
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "n"), F.lit(blocks)).cast("int")).repartition(shuffle_partitions(spark), "block")
-    parts = blocked.groupBy("block").applyInArrow(lambda t: count_block(t, buckets), PARTS)
-    totals = checkpointed(parts.groupBy("bucket").applyInArrow(add_up, TOTALS))
+    bits = min(63, size.bit_length() + SPARE_BITS)
+    parts = blocked.groupBy("block").applyInArrow(lambda t: count_block(t, buckets, bits), PARTS)
+    totals = checkpointed(parts.groupBy("bucket").applyInArrow(lambda t: add_up(t, bits), TOTALS))
     seen = totals.agg(F.sum("tokens"), F.sum("words")).first()
     n_tokens, n_words = seen[0] or 0, seen[1] or 0
-    return blocked.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(lambda d, t: score_block(d, t, n_tokens, n_words, prior), SCORED)
+    return blocked.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(lambda d, t: score_block(d, t, n_tokens, n_words, prior, bits), SCORED)
 
 
 def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
