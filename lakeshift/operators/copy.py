@@ -10,7 +10,7 @@ import json
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,27 +27,25 @@ class Target:
 
     spark: SparkSession
     path: str
-    _notes: list = field(default_factory=list)
 
     def part_path(self, table: str, part: Part) -> str:
         return f"{self.path}/{table}/part={part.partnum}"
 
-    def done(self) -> DataFrame:
-        """Notes of this run and of those before."""
-        old = self._read()
-        new = self.spark.createDataFrame(self._notes, DONE)
-        return old.unionByName(new) if old is not None else new
-
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _read(self) -> DataFrame | None:
-        return self.spark.read.schema(DONE).json(f"{self.path}/_notes") if self._exists(f"{self.path}/_notes") else None
+    def done(self) -> DataFrame:
+        """The notes of this run and of those before."""
+        fs, p = self._fs(f"{self.path}/_done")
+        return self.spark.read.schema(DONE).json(str(p)) if fs.exists(p) else self.spark.createDataFrame([], DONE)
 
-    def note(self, row: tuple) -> None:
-        self.spark.createDataFrame([row], DONE).coalesce(1).write.mode("append").json(f"{self.path}/_notes")
+    def note(self, table: str, part: Part, rows: int, duration_ms: int) -> None:
+        """One small file for each part, so that writers never meet; it appears once the part is complete."""
+        fs, p = self._fs(f"{self.path}/_done/{table}-{part.partnum}-{part.partcount}.json")
+        out = fs.create(p, True)
+        out.write(bytearray(json.dumps({"table_name": table, "partnum": part.partnum, "partcount": part.partcount, "rows": rows, "duration_ms": duration_ms, "done_time": time.time()}).encode()))
+        out.close()
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}").drop("part")
@@ -72,13 +70,12 @@ def copy_part(df: DataFrame, target: Target, name: str, part: Part, key: str | N
     path = target.part_path(name, part)
     with_retries(lambda: rows.write.mode("overwrite").parquet(path))
     n = target.spark.read.parquet(path).count()  # of the files' footers
-    target.note((name, part.partnum, part.partcount, n, int(1000 * (time.time() - began)), time.time()))
+    target.note(name, part, n, int(1000 * (time.time() - began)))
 
 
 def copy_tables(tables: dict[str, tuple[DataFrame, list[Part], str | None]], target: Target, workers: int = 4, resume: bool = False) -> DataFrame:
     """Copies tables (frame, parts, split key), several parts at a time, those of many parts first; returns the notes."""
-    known = target._read() if resume else None
-    finished = {(r.table_name, r.partnum, r.partcount) for r in known.collect()} if known is not None else set()
+    finished = {(r.table_name, r.partnum, r.partcount) for r in target.done().collect()} if resume else set()
     todo = [(n, p, df, k) for n, (df, parts, k) in sorted(tables.items(), key=lambda t: -len(t[1][1])) for p in parts if (n, p.partnum, p.partcount) not in finished]
     with ThreadPoolExecutor(workers) as pool:
         for f in [pool.submit(copy_part, df, target, n, p, k) for n, p, df, k in todo]:
