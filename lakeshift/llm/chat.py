@@ -41,7 +41,7 @@ SPEAKERS = {
 }
 ROLE_OF = {w: r for r, (_, words) in enumerate(SPEAKERS.items()) for w in words}
 _WORDS = "|".join(sorted(ROLE_OF, key=len, reverse=True))
-MARKER = re.compile(rf"\s*(?:[\[<(*#]+\|?\s*(?P<a>{_WORDS})\s*(?:\|?[\]>)*]+:?|:|$)|(?P<b>{_WORDS})\s*:)\s*", re.IGNORECASE)
+MARKER = re.compile(rf"\s*(?:[\[<(*#]+\|?\s*(?P<a>{_WORDS})\s*(?:\|?[\]>)*]+:?|:[\])*]*|$)|(?P<b>{_WORDS})\s*:)\s*", re.IGNORECASE)
 STATES = 2 * len(ROLES)  # role * 2 + (0: opens a turn, 1: goes on)
 #: Sizes of the observations: marker, length, question, blank before, first.
 SIZES = (4, 6, 2, 2, 2)

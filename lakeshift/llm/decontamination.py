@@ -11,7 +11,7 @@ Items of equal template are one class, under their least id. The benchmark's win
 shows that they are few; beyond ``broadcast_rows`` both sides are shuffled. Items with fewer tokens than a window are
 one window as a whole, compared with documents' windows of that length.
 
-Nulls and empty texts have no windows and match nothing. Repeated rows give equal rows; a null id is kept.
+Nulls and empty texts have no windows and match nothing. Repeated rows give one match; a null id is kept.
 Benchmark items with fewer than ``least_tokens`` tokens are too common to tell and are left out.
 """
 

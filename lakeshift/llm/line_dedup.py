@@ -9,8 +9,8 @@ broadcast of these few rows decides for each line where it is.
 
 What comes back is, for each document, a run-length coded bitmap of its lines instead of text.
 
-Nulls: a null text is one empty line; a null id is the smallest. Rows of equal id are documents of their own, and the
-lines of the largest id stay in all of its rows. Empty tables give no rows; other columns stay untouched.
+Nulls: a null text is one empty line; a null id is the smallest. Rows of equal id count as one document, and the lines
+of the largest id stay in all of its rows. Empty tables give no rows; other columns stay untouched.
 """
 
 from __future__ import annotations
@@ -50,18 +50,18 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     # at most 4096 rows, as there are no more keys with more than 1/4096 of the rows
     hot = checkpointed(
         rows.join(F.broadcast(heavy), ["h1", "h2"])
-        .groupBy("h1", "h2", "id", "rk").agg(F.lit(1).alias("one"))
+        .groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("keeper"))
     )
     of_hot = rows.join(F.broadcast(hot), ["h1", "h2"]).where((F.col("n_docs") >= min_docs) & (F.col("id") < F.col("keeper"))).select("id", "rk", "pos")
     ranged = rows.join(F.broadcast(hot.select("h1", "h2")), ["h1", "h2"], "left_anti").withColumn("range", F.shiftrightunsigned("h1", 64 - RANGE_BITS)).repartition(shuffle_partitions(spark), "range")
     run = Window.partitionBy("range", "h1", "h2").orderBy(F.desc("id"), F.desc("rk"), "pos")
     # a document's number in its run; the last one is the number of documents
-    new = (F.coalesce(F.lag("id").over(run) != F.col("id"), F.lit(True)) | (F.lag("rk").over(run) != F.col("rk"))).cast("int")
+    new = F.coalesce(F.lag("id").over(run) != F.col("id"), F.lit(True)).cast("int")
     streamed = ranged.withColumn("new", new).withColumn("keeper", F.first("id").over(run))
     whole = Window.partitionBy("range", "h1", "h2").orderBy(F.desc("id"), F.desc("rk"), "pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     of_rest = streamed.withColumn("n_docs", F.sum("new").over(whole)).where((F.col("n_docs") >= min_docs) & (F.col("id") < F.col("keeper"))).select("id", "rk", "pos")
-    return of_hot.unionByName(of_rest).groupBy("id", "rk").agg(F.sort_array(F.collect_list("pos")).alias("dropped"))
+    return of_hot.unionByName(of_rest).groupBy("id", "rk").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 
 def run_lengths(dropped: Column) -> Column:

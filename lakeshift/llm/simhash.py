@@ -123,7 +123,7 @@ def near_links(nodes: DataFrame, bits: int = BITS, pairwise: int = PAIRWISE, lon
                 break
             # of the positions left, one more byte is shared: at most three of them differ
             spread = long.where(F.col("n") > longest).select("key", F.explode(F.array_except(F.array(*[F.lit(x) for x in range(8)]), "used")).alias("p"), "used", "fp")
-            spread = spread.select(F.concat_ws(",", "key", "p", F.shiftrightunsigned("fp", F.col("p") * 8).bitwiseAND(F.lit(255))).alias("key"), F.array_append("used", F.col("p")).alias("used"), "fp")
+            spread = spread.select(F.concat_ws(",", "key", "p", F.expr("shiftrightunsigned(fp, p * 8) & 255")).alias("key"), F.array_append("used", F.col("p")).alias("used"), "fp")
             spread = spread.join(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("key", "used", "fp", "n")
             long = checkpointed(long.where(F.col("n") <= longest).unionByName(spread))
             many = long.agg(F.max("n")).first()[0] or 0
