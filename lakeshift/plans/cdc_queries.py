@@ -359,6 +359,6 @@ def stream_cdc_apply(spark, sf_dir) -> DataFrame:
     x = log(spark, sf_dir).withColumn("u", F.col("cents") % 2 != 0)
     x.repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(f"{path}/log")
     stream = spark.readStream.schema(x.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/log")
-    applier = Applier(spark, f"{path}/state", ["user_id"], ["cents", "props"], {"props": F.col("u")})
+    applier = Applier(spark, f"{path}/state", ["user_id"], ["cents", "props"], {"props": F.col("u")}, buckets=8)
     applier.run(stream, f"{path}/checkpoint").awaitTermination()
     return applier.state()

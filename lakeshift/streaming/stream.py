@@ -1,8 +1,9 @@
 """The applier as a Structured Streaming query: complete transactions are folded into versions of a state.
 
-Each micro-batch writes one new version: the state, the messages of transactions that haven't ended, and the cursor,
-which become visible together when the version's marker is written. A batch that is run again finds its version and
-does nothing, so that results are exactly once.
+The state lies in buckets of keys. Each micro-batch writes a new version of the buckets that its changes touch, the
+messages of transactions that haven't ended, and a note with the position and the version of each bucket; all become
+visible together when the note is written. A batch that is run again finds its note and does nothing, so that results
+are exactly once. What a batch costs depends on the buckets that it touches, not on the whole state.
 """
 
 from __future__ import annotations
@@ -11,27 +12,35 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeshift.streaming.apply import merged
 from lakeshift.streaming.transactions import in_commit_order, last_delivery, transactions
 
 
 class Applier:
-    """Folds a change log (id, action, xid, lsn, key and value columns) into a state of one relation below a path."""
+    """Folds a change log (id, action, xid, lsn, key and value columns) into a state of one relation below a path.
 
-    def __init__(self, spark: SparkSession, path: str, key: list[str], columns: list[str], unchanged: dict[str, Column] | None = None, endpos: int = 0):
-        self.spark, self.path, self.key, self.columns, self.unchanged, self.endpos = spark, path, key, columns, unchanged, endpos
+    unchanged: for a column, where it wasn't sent. endpos: apply the transaction that holds it, then nothing more.
+    buckets: into how many the keys are hashed; it can't change for a path.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: list[str], columns: list[str], unchanged: dict[str, Column] | None = None, endpos: int = 0, buckets: int = 64):
+        self.spark, self.path, self.key, self.columns, self.unchanged, self.endpos, self.buckets = spark, path, key, columns, unchanged, endpos, buckets
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _versions(self) -> list[int]:
-        fs, p = self._fs(self.path)
-        if not fs.exists(p):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return sorted(int(n.removeprefix("done-")) for n in names if n.startswith("done-"))
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+    def versions(self) -> list[int]:
+        return sorted(int(n.removeprefix("done-")) for n in self._names(self.path) if n.startswith("done-"))
+
+    def note(self, version: int) -> dict:
+        return json.loads(self.spark.read.option("wholetext", True).text(f"{self.path}/done-{version:012d}").first()[0])
 
     def _mark(self, version: int, note: dict) -> None:
         fs, p = self._fs(f"{self.path}/done-{version:012d}")
@@ -39,42 +48,53 @@ class Applier:
         out.write(bytearray(json.dumps(note).encode()))
         out.close()
 
-    def note(self, version: int) -> dict:
-        fs, p = self._fs(f"{self.path}/done-{version:012d}")
-        return json.loads(self.spark.read.text(str(p)).first()[0])
+    def _last(self) -> dict:
+        v = self.versions()
+        return self.note(v[-1]) | {"version": v[-1]} if v else {"replay_lsn": 0, "stopped": False, "buckets": {}, "schema": None, "version": None}
+
+    def _read(self, note: dict, only: set[int] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(note["schema"])
+        paths = [f"{self.path}/v={v:012d}/state/bucket={b}" for b, v in note["buckets"].items() if only is None or int(b) in only]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def state(self) -> DataFrame | None:
-        v = self._versions()
-        return self.spark.read.parquet(f"{self.path}/v={v[-1]:012d}/state") if v else None
+        note = self._last()
+        return self._read(note) if note["version"] is not None else None
 
     def cursor(self) -> int:
-        v = self._versions()
-        return self.note(v[-1])["replay_lsn"] if v else 0
+        return self._last()["replay_lsn"]
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        versions = self._versions()
-        if batch_id in versions:
+        note = self._last()
+        if note["version"] is not None and note["version"] >= batch_id:
             return
-        note = self.note(versions[-1]) if versions else {"replay_lsn": 0, "stopped": False}
         log = batch
-        if versions:
-            log = self.spark.read.schema(batch.schema).parquet(f"{self.path}/v={versions[-1]:012d}/pending").unionByName(batch)
-        log = last_delivery(log).cache()
-        txn = transactions(log).cache()
+        if note["version"] is not None:
+            log = self.spark.read.schema(batch.schema).parquet(f"{self.path}/v={note['version']:012d}/pending").unionByName(batch)
+        log = last_delivery(log).persist()
+        txn = transactions(log).persist()
         ready = txn.where((F.col("outcome") != "open") & (F.col("end_lsn") > note["replay_lsn"]))
         if self.endpos:
             ready = ready.where(F.col("begin_lsn") <= self.endpos)
         if note["stopped"]:
-            ready = ready.limit(0)
+            ready = ready.where(F.lit(False))
         out = f"{self.path}/v={batch_id:012d}"
+        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         changes = in_commit_order(log).join(ready.select("xid"), "xid", "left_semi")
-        empty = self.spark.createDataFrame([], changes.select(*self.key, *self.columns).schema)
-        state = self.state() if versions else empty
-        merged(state, changes, self.key, self.columns, ["commit_lsn", "id"], self.unchanged).write.mode("overwrite").parquet(f"{out}/state")
-        waiting = txn.where("outcome = 'open'").select("xid")
-        log.join(waiting, "xid", "left_semi").select(*batch.columns).write.mode("overwrite").parquet(f"{out}/pending")
+        schema = changes.select(*self.key, *self.columns).schema
+        note["schema"] = note["schema"] or json.loads(schema.json())
+        seen = changes.select(F.when(F.col("action") != "T", bucket).alias("bucket")).distinct().collect()  # as many as buckets
+        touched = {r.bucket for r in seen if r.bucket is not None}
+        if any(r.bucket is None for r in seen):  # a truncation
+            touched |= {int(b) for b in note["buckets"]}
+        if touched:
+            rows = merged(self._read(note, touched), changes, self.key, self.columns, ["commit_lsn", "id"], self.unchanged)
+            rows.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/state")
+        kept = {b: v for b, v in note["buckets"].items() if int(b) not in touched}
+        written = {n.removeprefix("bucket="): batch_id for n in self._names(f"{out}/state") if n.startswith("bucket=")}
+        log.join(txn.where("outcome = 'open'").select("xid"), "xid", "left_semi").select(*batch.columns).write.mode("overwrite").parquet(f"{out}/pending")
         last = ready.agg(F.max("end_lsn")).first()[0] or note["replay_lsn"]
-        self._mark(batch_id, {"replay_lsn": last, "stopped": note["stopped"] or bool(self.endpos and last >= self.endpos)})
+        self._mark(batch_id, {"replay_lsn": last, "stopped": note["stopped"] or bool(self.endpos and last >= self.endpos), "buckets": kept | written, "schema": note["schema"]})
         log.unpersist()
         txn.unpersist()
 

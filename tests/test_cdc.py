@@ -193,3 +193,23 @@ def test_segments(spark):
     assert state.segment_of(spark.createDataFrame([(39,), (0,), (99,)], "lsn long"), b).where("segment_id IS NULL").count() == 0
     assert state.prunable(b, 15).count() == 1
     assert state.timelines(spark.createDataFrame([(1, 100), (2, 200), (3, None)], "tli int, switch_lsn long")).where("tli = 2").first().begin_lsn == 100
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    rows = [("I", k, "a") for k in range(40)]
+    first = [(1, "B", 1, 10, None, None), *((2 + n, x, 1, 11 + n, k, v) for n, (x, k, v) in enumerate(rows)), (99, "C", 1, 99, None, None)]
+    a = applied(spark, tmp_path, [first, txn(2, 200, [("U", 3, "b")]), txn(3, 300, [("D", 5, None)])])
+    assert len(rows_of(a)) == 39 and (3, "b") in rows_of(a)
+    note = a.note(2)
+    assert len([v for v in note["buckets"].values() if v == 0]) >= len(note["buckets"]) - 2
+
+
+def test_stream_of_the_log(spark, tmp_path):
+    for n, rows in enumerate([txn(1, 10, [("I", 1, "a")]), txn(2, 20, [("I", 2, "b")])[:1], txn(2, 20, [("I", 2, "b")])[1:]]):
+        spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    a = Applier(spark, str(tmp_path / "state"), ["k"], ["v"])
+    a.run(stream, str(tmp_path / "c")).awaitTermination()
+    assert rows_of(a) == [(1, "a"), (2, "b")]
+    a.run(stream, str(tmp_path / "c")).awaitTermination()
+    assert rows_of(a) == [(1, "a"), (2, "b")]
