@@ -213,3 +213,23 @@ def test_stream_of_the_log(spark, tmp_path):
     assert rows_of(a) == [(1, "a"), (2, "b")]
     a.run(stream, str(tmp_path / "c")).awaitTermination()
     assert rows_of(a) == [(1, "a"), (2, "b")]
+
+
+def test_following_to_an_end(spark, tmp_path):
+    from lakeshift.streaming.follow import Control, follow
+
+    control = Control(spark, str(tmp_path / "control"))
+    control.set(startpos=1, endpos=0, apply=False)
+    files, a, ended = [txn(1, 10, [("I", 1, "a")]), txn(2, 20, [("I", 2, "b")]), txn(3, 30, [("I", 3, "c")])], Applier(spark, str(tmp_path / "state"), ["k"], ["v"], buckets=4), []
+    put = lambda rows: spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    run = lambda: follow(control, a, lambda: spark.readStream.schema(LOG).parquet(str(tmp_path / "log")), str(tmp_path / "c"), at_end=lambda: ended.append(1))
+    put(files[0])
+    assert run() == "waiting"
+    control.set(apply=True)
+    assert run() == "caught up" and control.get()["replay_lsn"] == 15
+    control.set(endpos=22)
+    put(files[1])
+    put(files[2])
+    assert run() == "done" and rows_of(a) == [(1, "a"), (2, "b")] and ended == [1]
+    control.set(replay_lsn=3)
+    assert control.get()["replay_lsn"] == 25
