@@ -1,7 +1,7 @@
 """Benchmark decontamination with DataFrame functions only: canonical templates, windows, slot consistency.
 
 Texts become templates: tokens with a digit are <n>, words after a number from a list of units <u>, capitalised words
-inside a sentence <p>; the rest is lower-cased and loses punctuation. Windows of ``window`` tokens of benchmark items
+inside a sentence (not those all in capitals) <p>; the rest is lower-cased and loses punctuation. Windows of ``window`` tokens of benchmark items
 with enough literal tokens are hash-joined with all windows of all documents. A document and an item whose shared
 windows cover ``min_windows`` different windows of the item (or all, if it has fewer) are a match if the slots are
 consistent: under the matched windows, one value in the item always stands for one value in the document. So an item
@@ -33,9 +33,9 @@ def template(text: Column, values: bool = False) -> Column:
     kept = "$0" if values else ""
     x = F.when(text.contains(MARK), F.replace(text, F.lit(MARK), F.lit(""))).otherwise(text)
     numbers = F.regexp_replace(x, r"(?<!\S)\S*[0-9]\p{L}*", f"{MARK}n⟩{kept}")
-    numbers = F.regexp_replace(numbers, rf"(?<=[0-9⟩\p{{L}}]{SPACE})(?<={MARK}n⟩\S{{0,40}}{SPACE})(?:{UNITS})(?!\p{{L}})", f"{MARK}u⟩{kept}")
+    numbers = F.regexp_replace(numbers, rf"(?<=[0-9⟩\p{{L}}]{SPACE})(?<={MARK}n⟩\S{{0,40}}{SPACE})(?i:{UNITS})(?!\p{{L}})", f"{MARK}u⟩{kept}")
     x = F.when(x.rlike("[0-9]"), numbers).otherwise(x)
-    x = F.regexp_replace(x, r"\p{Lu}(?<=[^.!?:;\s]\x20.)[\p{L}\p{M}'’-]*", f"{MARK}p⟩{kept}")
+    x = F.regexp_replace(x, r"\p{Lu}(?<=[^.!?:;\s]\x20.)[\p{Ll}\p{M}'’-]+(?!\p{L})", f"{MARK}p⟩{kept}")
     x = F.lower(x)
     x = F.regexp_replace(x, r"[.,;:!?\"()\[\]|]+", "")
     return F.btrim(F.regexp_replace(x, f"{SPACE}+", " "), F.lit(" "))
@@ -52,6 +52,10 @@ def windows(hashes: Column, length: Column | int) -> Column:
     return F.when(n >= 0, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(0))), lambda i: F.xxhash64(F.slice(hashes, i + 1, length)))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _placed(length: int):
+    return lambda w, i: F.struct(F.lit(length).alias("len"), i.alias("pos"), w.alias("w"))
+
+
 def item_windows(bench: DataFrame, window: int, least: int, literals: int) -> DataFrame:
     """(item, len, at, w, slots, n_windows, tagged): windows of each class of items."""
     x = bench.select("item_id", "text").where(F.col("text").isNotNull()).withColumn("template", template(F.col("text"))).groupBy("template").agg(F.min_by(F.struct("item_id", "text"), F.struct(F.col("item_id").isNull(), "item_id", "text")).alias("i"), F.count("*").alias("n_items"))
@@ -77,10 +81,12 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
     if items.count() <= broadcast_rows:
         index = F.broadcast(index)
     hashed = rows.where(F.octet_length("text") > 0).select("id", "rk", F.transform(tokens(template(F.col("text"))), lambda t: F.xxhash64(t)).alias("hs"))
-    found = None
-    for k in lengths or [window]:
-        of_k = hashed.select("id", "rk", F.lit(k).alias("len"), F.posexplode(windows(F.col("hs"), k)).alias("pos", "w"))
-        found = of_k if found is None else found.unionByName(of_k)
+    if len(lengths) <= 1:
+        k = lengths[0] if lengths else window
+        found = hashed.select("id", "rk", F.lit(k).alias("len"), F.posexplode(windows(F.col("hs"), k)).alias("pos", "w"))
+    else:  # windows of all lengths in one pass
+        of_all = [F.transform(windows(F.col("hs"), k), _placed(k)) for k in lengths]
+        found = hashed.select("id", "rk", F.inline(F.concat(*of_all)))
     hits = found.join(index, ["len", "w"]).select("id", "rk", "item", "len", "at", "pos", "slots", "w")
     per = hits.groupBy("id", "rk", "item").agg(F.countDistinct("w").alias("n_windows"), F.min("pos").alias("first_token"), F.max("slots").alias("most_slots"))
     of_item = items.groupBy("item").agg(F.first("n_windows").alias("item_windows"), F.first("n_items").alias("n_items"))

@@ -27,8 +27,8 @@ def test_other_numbers_and_names_are_found(spark, docs_of):
         (1, text), (2, text.replace("12", "40").replace("5 ", "17 ").replace("km", "miles")), (3, text.replace("apples", "pears")), (4, "nothing of this kind is here at all, nor anything like it"),
         (5, None), (6, ""), (1, text), (None, text), (7, "before " + ITEM.upper()),
     ])
-    assert found(docs, bench(spark, ITEM)) == {(1, 0), (2, 0), (None, 0)}
-    assert d.matches(docs, bench(spark, ITEM)).count() == 3
+    assert found(docs, bench(spark, ITEM)) == {(1, 0), (2, 0), (7, 0), (None, 0)}
+    assert d.matches(docs, bench(spark, ITEM)).count() == 4
 
 
 def test_slots_must_be_consistent(spark, docs_of):
@@ -42,6 +42,8 @@ def test_classes_of_items(spark, docs_of):
     b = bench(spark, ITEM, ITEM.replace("12", "13"), None, "too short")
     rows = d.matches(docs_of([(1, ITEM)]), b).collect()
     assert [(r.item_id, r.n_items) for r in rows] == [(0, 2)]
+    short = bench(spark, ITEM, "seven words that are in here alone", "only six words are in here")
+    assert found(docs_of([(1, ITEM), (2, "so seven words that are in here alone it is"), (3, "and only six words are in here"), (4, "words that are in here")]), short) == {(1, 0), (2, 1), (3, 2)}
 
 
 def brute(docs, items, w=8):
