@@ -40,7 +40,7 @@ SHINGLE, LEAST_WORDS, FUNCTIONS, SHIFT, SIMILARITY = 5, 50, 4, 2, 0.8
 SPAN = LEAST_WORDS - SHINGLE + 1
 #: Shared shingles of SPAN that make a Jaccard similarity of 0.8: s / (2 * SPAN - s).
 ENOUGH = int(np.ceil(2 * SPAN * SIMILARITY / (1 + SIMILARITY)))
-UNIT_BYTES, BUCKET_BYTES, HELD, NO_ID = 16 << 20, 40 << 20, 20_000, -(2**63)
+UNIT_BYTES, BUCKET_BYTES, HELD, MANY, NO_ID = 16 << 20, 40 << 20, 20_000, 64, -(2**63)
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SENT = "bucket int, doc_id long, text_hash long, words long, keys binary, docs binary, at binary"
 
@@ -208,24 +208,93 @@ def surroundings(docs: pa.Table, wanted: pa.Table) -> pa.Table:
 
 
 def agreeing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows of bytes: whether some SPAN shingles that hold the middle agree, and the first and last such start."""
+    """For rows of bytes: whether some SPAN shingles that hold the middle agree; the first and last shingle that does.
+
+    The ends are those of the widest stretch, without shingles that differ if it stays long enough.
+    """
     width = 2 * SPAN - 1
     same = a == b
     for s in range(1, SHIFT + 1):
         same[:, s:] |= a[:, s:] == b[:, : width - s]
         same[:, : width - s] |= a[:, : width - s] == b[:, s:]
-    same[(a == 0) | (b == 0)] = False
+    beyond = (a == 0) | (b == 0)
+    same[beyond] = False
     # a place beyond either text spoils the stretch
-    value = np.where((a == 0) | (b == 0), -SPAN, same.view("i1")).astype("i4")
-    total = np.concatenate([np.zeros((len(value), 1), "i4"), np.cumsum(value, axis=1, dtype="i4")], axis=1)
+    total = np.zeros((len(same), width + 1), "i2")
+    np.cumsum(np.where(beyond, -SPAN, same.view("i1")), axis=1, dtype="i2", out=total[:, 1:])
     good = total[:, SPAN:] - total[:, :SPAN] >= ENOUGH
-    return good.any(axis=1), good.argmax(axis=1), SPAN - 1 - good[:, ::-1].argmax(axis=1)
+    ok = good.any(axis=1)
+    some, good, place = same[ok], good[ok], np.arange(width)
+    lo, hi = good.argmax(axis=1), width - 1 - good[:, ::-1].argmax(axis=1)
+    # one alone may agree by chance
+    twice = some[:, :-1] & some[:, 1:]
+    first = (twice & (place[:-1] >= lo[:, None])).argmax(axis=1)
+    last = width - 1 - (twice & (place[1:] <= hi[:, None]))[:, ::-1].argmax(axis=1)
+    long = last - first + 1 >= SPAN
+    ends = np.zeros((2, len(ok)), "i8")
+    ends[0, ok], ends[1, ok] = np.where(long, first, lo), np.where(long, last, hi)
+    return ok, ends[0], ends[1]
+
+
+def near_in(around: np.ndarray, rows: np.ndarray, reached: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Links among rows, some of which are linked with each other already, that connect all that agree; and roots.
+
+    reached: flags by row; rows that come to be linked with such are flagged, too. Roots: a row of each other set.
+    """
+    pairs, roots = [], []
+    front, open_ = rows[reached[rows]], rows[~reached[rows]]
+
+    def link(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+        ok, lo, hi = agreeing(around[one][None, :], around[many])
+        pairs.append(np.column_stack([np.full(int(ok.sum()), one), many[ok], lo[ok], hi[ok]]))
+        return ok
+
+    if len(open_) <= len(front):  # few rows seek one of many that are linked
+        stack = []
+        for o in open_.tolist():
+            ok, lo, hi = agreeing(around[front], around[o][None, :])
+            if ok.any():
+                k = int(ok.argmax())
+                pairs.append(np.array([[front[k], o, lo[k], hi[k]]]))
+                stack.append(o)
+    else:
+        stack = front.tolist()
+    found = set(stack)
+    open_ = np.array([o for o in open_.tolist() if o not in found], "i8")
+    while len(open_):
+        if not stack:
+            roots.append(int(open_[0]))
+            stack, open_ = [int(open_[0])], open_[1:]
+        ok = link(np.int64(stack.pop()), open_)
+        stack += open_[ok].tolist()
+        open_ = open_[~ok]
+    reached[rows] = True
+    return pairs, np.array(roots, "i8")
+
+
+def far_groups(around: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
+    """Groups of rows in which all rows meet that can agree without a shift, smaller than all of them.
+
+    A stretch of SPAN shingles around the middle reaches SPAN / 2 to one side at least. Of its far half there, in six
+    pairs of neighbours, the five shingles that may differ leave one pair whole: rows meet by equal pairs. Windows that
+    have only a common line around the middle don't.
+    """
+    for side in (1, -1):
+        for k in range(6):
+            at = SPAN - 1 + side * np.array([SPAN // 4 + 1 + 2 * k, SPAN // 4 + 2 + 2 * k])
+            own = around[rows][:, at].astype("u2")
+            value = own[:, 0] << 8 | own[:, 1]
+            order = np.argsort(value, kind="stable")
+            edges = np.flatnonzero(np.diff(value[order])) + 1
+            for group in np.split(order, edges):
+                if len(group) > 1 and own[group[0]].all():
+                    yield rows[group]
 
 
 def linked(table: pa.Table) -> pa.Table:
-    """Links (doc_a, start_a, end_a, doc_b, start_b, end_b) in words, a spanning forest for each group and key; ends are beyond.
+    """Links (doc_a, start_a, end_a, doc_b, start_b, end_b) in words that connect, for each key, all that agree; ends are beyond.
 
-    Rows of doc_b null tell of one window for each linked set (its group, key and bytes), for the next level.
+    Rows of doc_b null tell of one window for each linked set (its key and bytes), for the next level.
     """
     table = table.sort_by([("key", "ascending"), ("doc_id", "ascending"), ("at", "ascending")])
     key, doc, at = (table[c].to_numpy() for c in ("key", "doc_id", "at"))
@@ -234,48 +303,37 @@ def linked(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(first, len(key)))
     leader = np.repeat(first, sizes)
-    rest = np.flatnonzero(leader != np.arange(len(key)))
     reached = leader == np.arange(len(key))
+    rest = np.flatnonzero(~reached)
     for k in range(0, len(rest), 4096):  # each window with the first of its key
         some = rest[k : k + 4096]
         ok, lo, hi = agreeing(around[leader[some]], around[some])
         pairs.append(np.column_stack([leader[some], some, lo, hi])[ok])
         reached[some[ok]] = True
-    roots = set(first.tolist())
-    left = np.flatnonzero(~reached)
-    for g in np.unique(leader[left]).tolist():  # keys whose windows aren't all like the first
-        open_ = left[leader[left] == g]
-        own = np.arange(g, g + int(sizes[first.searchsorted(g)]))
-        front = own[reached[own] & (own != g)]
-        stack, keep = [], np.ones(len(open_), bool)
-        for k, o in enumerate(open_.tolist() if len(front) else ()):
-            ok, lo, hi = agreeing(around[front], around[o][None, :])
-            if ok.any():
-                f = int(ok.argmax())
-                pairs.append(np.array([[front[f], o, lo[f], hi[f]]]))
-                stack.append(o)
-                keep[k] = False
-        open_ = open_[keep]
-        while len(open_):
-            if not stack:
-                roots.add(int(open_[0]))
-                stack, open_ = [int(open_[0])], open_[1:]
-            f = stack.pop()
-            ok, lo, hi = agreeing(around[f][None, :], around[open_])
-            pairs.append(np.column_stack([np.full(int(ok.sum()), f), open_[ok], lo[ok], hi[ok]]))
-            stack += open_[ok].tolist()
-            open_ = open_[~ok]
+    roots = [first]
+    left = leader[~reached]
+    for g, n in zip(*np.unique(left, return_counts=True), strict=True):  # keys whose windows aren't all like the first
+        own = np.arange(g, g + sizes[first.searchsorted(g)])
+        if n <= MANY:
+            found, more = near_in(around, own, reached)
+            pairs += found
+        else:
+            more = own[~reached[own]]
+            for group in far_groups(around, own):
+                if not reached[group].all():
+                    was = reached[group]  # each group tells by itself what belongs together
+                    pairs += near_in(around, np.sort(group), reached)[0]
+                    reached[group] = was
+        roots.append(more)
     p = np.concatenate(pairs) if pairs else np.zeros((0, 4), "i8")
     p = p[doc[p[:, 0]] != doc[p[:, 1]]]
     a, b, lo, hi = p.T
-    r = np.array(sorted(roots), "i8")
+    r = np.unique(np.concatenate(roots))
     none = lambda n: pa.nulls(n, pa.int64())
     start = lambda x: at[x] - (SPAN - 1) + lo
-    end = lambda x: at[x] - (SPAN - 1) + hi + LEAST_WORDS
-    columns = {}
-    for name, link in (("key", None), ("doc_a", doc[a]), ("start_a", start(a)), ("end_a", end(a)), ("doc_b", doc[b]), ("start_b", start(b)), ("end_b", end(b))):
-        root = key[r] if name == "key" else doc[r] if name == "doc_a" else at[r] if name == "start_a" else None
-        columns[name] = pa.concat_arrays([none(len(a)) if link is None else pa.array(link, pa.int64()), none(len(r)) if root is None else pa.array(root, pa.int64())])
+    end = lambda x: at[x] - (SPAN - 1) + hi + SHINGLE
+    known = {"key": (None, key[r]), "doc_a": (doc[a], doc[r]), "start_a": (start(a), at[r]), "end_a": (end(a), None), "doc_b": (doc[b], None), "start_b": (start(b), None), "end_b": (end(b), None)}
+    columns = {name: pa.concat_arrays([none(len(a)) if x is None else pa.array(x, pa.int64()), none(len(r)) if y is None else pa.array(y, pa.int64())]) for name, (x, y) in known.items()}
     columns["around"] = pa.array([None] * len(a) + [around[k].tobytes() for k in r.tolist()], pa.binary())
     return pa.table(columns)
 
@@ -293,16 +351,16 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", un
     out = checkpointed(rows.mapInArrow(lambda it: sent(it, buckets, unit_bytes), SENT))
     info = out.where("bucket IS NULL").select("doc_id", "text_hash", "words")
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    wanted = out.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(shared_keys, "key long, doc_id long, text_hash long, at long, n long").withColumn("block", block("doc_id"))
+    wanted = checkpointed(out.where("bucket IS NOT NULL").groupBy("bucket").applyInArrow(shared_keys, "key long, doc_id long, text_hash long, at long, n long").withColumn("block", block("doc_id")))
     texts = rows.where(F.octet_length("text") > LEAST_WORDS).withColumn("block", block("doc_id")).repartition(shuffle_partitions(spark), "block")
-    windows = checkpointed(texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(surroundings, "key long, doc_id long, at long, n long, around binary"))
-    groups = max(1, -(-windows.count() // held))
+    windows = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(surroundings, "key long, doc_id long, at long, n long, around binary")
+    groups = max(1, -(-wanted.count() // held))
     salts = F.ceil(F.col("n") / held)
     dealt = windows.withColumn("salt", F.when(F.col("n") > held, F.pmod(F.xxhash64("doc_id", "at"), salts)).otherwise(F.lit(-1))).withColumn("group", F.pmod(F.xxhash64("key", "salt"), F.lit(groups)))
     # keys of several salts in one group are one group there, which is as well
     found = checkpointed(dealt.groupBy("group").applyInArrow(linked, LINKED))
     links = found.where("doc_b IS NOT NULL").drop("key", "around")
-    split = windows.where(F.col("n") > held).select("key").distinct()
+    split = wanted.where(F.col("n") > held).select("key").distinct()
     if not split.isEmpty():
         again = found.where("doc_b IS NULL").join(split, "key", "left_semi").select("key", F.col("doc_a").alias("doc_id"), F.col("start_a").alias("at"), F.lit(0).cast("long").alias("n"), "around")
         links = links.unionByName(again.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups))).groupBy("group").applyInArrow(linked, LINKED).where("doc_b IS NOT NULL").drop("key", "around"))
