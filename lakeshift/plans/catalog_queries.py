@@ -11,16 +11,17 @@ from lakeshift.plans.frames import table
 from lakeshift.plans.registry import query
 from lakeshift.sources.rules import parse_rules
 
-#: Objects to select from: a schema for each region, a table for each nation, and customers' tables by number.
+#: Objects to select from: a schema for each region with a table for each nation, and one for each market segment with a
+#: table for each customer.
 OBJECTS_SQL = """objects AS (
   SELECT lower(r_name) AS nspname, lower(n_name) AS relname, CAST(n_nationkey AS BIGINT) AS oid FROM nation JOIN region ON n_regionkey = r_regionkey
-  UNION ALL SELECT 'seg_' || lower(c_mktsegment), 'customer_' || CAST(c_custkey AS VARCHAR), c_custkey + 1000 FROM customer WHERE c_custkey <= 300)"""
+  UNION ALL SELECT 'seg_' || lower(c_mktsegment), 'customer_' || CAST(c_custkey AS VARCHAR), c_custkey + 1000 FROM customer)"""
 
 
 def objects(spark, sf_dir) -> DataFrame:
     n, r, c = (table(spark, sf_dir, t) for t in ("nation", "region", "customer"))
     a = n.join(r, n.n_regionkey == r.r_regionkey).select(F.lower("r_name").alias("nspname"), F.lower("n_name").alias("relname"), F.col("n_nationkey").cast("long").alias("oid"))
-    b = c.where("c_custkey <= 300").select(F.concat(F.lit("seg_"), F.lower("c_mktsegment")).alias("nspname"), F.concat(F.lit("customer_"), F.col("c_custkey").cast("string")).alias("relname"), (F.col("c_custkey") + 1000).alias("oid"))
+    b = c.select(F.concat(F.lit("seg_"), F.lower("c_mktsegment")).alias("nspname"), F.concat(F.lit("customer_"), F.col("c_custkey").cast("string")).alias("relname"), (F.col("c_custkey") + 1000).alias("oid"))
     return a.unionByName(b)
 
 
@@ -88,20 +89,20 @@ def filter_object_lookup(spark, sf_dir) -> DataFrame:
 
 @query("""
 WITH s AS (SELECT n_nationkey AS oid, 'r' || CAST(n_regionkey AS VARCHAR) AS nspname, CASE WHEN n_nationkey % 3 = 0 THEN n_nationkey * 2 END AS ownedby, CASE WHEN n_nationkey % 3 = 1 THEN n_nationkey * 3 END AS attrelid FROM nation),
-t AS (SELECT c_custkey AS oid, 'r' || CAST(c_custkey % 3 AS VARCHAR) AS nspname FROM customer WHERE c_custkey <= 30)
+t AS (SELECT c_custkey AS oid, 'r' || CAST(c_custkey % 3 AS VARCHAR) AS nspname FROM customer WHERE c_acctbal < 0)
 SELECT oid, nspname, ownedby, attrelid FROM s WHERE ownedby IN (SELECT oid FROM t) OR attrelid IN (SELECT oid FROM t) OR (ownedby IS NULL AND attrelid IS NULL AND nspname IN (SELECT nspname FROM t))""")
 def sequence_scope(spark, sf_dir) -> DataFrame:
     k = F.col("n_nationkey")
     s = table(spark, sf_dir, "nation").select(k.alias("oid"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("nspname"), F.when(k % 3 == 0, k * 2).alias("ownedby"), F.when(k % 3 == 1, k * 3).alias("attrelid"))
-    t = table(spark, sf_dir, "customer").where("c_custkey <= 30").select(F.col("c_custkey").alias("oid"), F.concat(F.lit("r"), (F.col("c_custkey") % 3).cast("string")).alias("nspname"))
+    t = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("oid"), F.concat(F.lit("r"), (F.col("c_custkey") % 3).cast("string")).alias("nspname"))
     return filters.sequences_in_scope(s, t)
 
 
 #: Regions hold nations, nations customers and suppliers; every seventh edge is internal.
 EDGES_SQL = """edges AS (
   SELECT 'r' || CAST(n_regionkey AS VARCHAR) AS src, 'n' || CAST(n_nationkey AS VARCHAR) AS dst, CASE WHEN n_nationkey % 7 = 0 THEN 'i' ELSE 'n' END AS deptype FROM nation
-  UNION ALL SELECT 'n' || CAST(c_nationkey AS VARCHAR), 'c' || CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 7 = 0 THEN 'i' ELSE 'a' END FROM customer WHERE c_custkey <= 200
-  UNION ALL SELECT 'n' || CAST(s_nationkey AS VARCHAR), 's' || CAST(s_suppkey AS VARCHAR), 'n' FROM supplier WHERE s_suppkey <= 50)"""
+  UNION ALL SELECT 'n' || CAST(c_nationkey AS VARCHAR), 'c' || CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 7 = 0 THEN 'i' ELSE 'a' END FROM customer
+  UNION ALL SELECT 'n' || CAST(s_nationkey AS VARCHAR), 's' || CAST(s_suppkey AS VARCHAR), 'n' FROM supplier)"""
 
 
 def edges(spark, sf_dir) -> DataFrame:
@@ -109,8 +110,8 @@ def edges(spark, sf_dir) -> DataFrame:
     name = lambda p, k: F.concat(F.lit(p), F.col(k).cast("string"))
     return (
         n.select(name("r", "n_regionkey").alias("src"), name("n", "n_nationkey").alias("dst"), F.when(F.col("n_nationkey") % 7 == 0, "i").otherwise("n").alias("deptype"))
-        .unionByName(c.where("c_custkey <= 200").select(name("n", "c_nationkey").alias("src"), name("c", "c_custkey").alias("dst"), F.when(F.col("c_custkey") % 7 == 0, "i").otherwise("a").alias("deptype")))
-        .unionByName(s.where("s_suppkey <= 50").select(name("n", "s_nationkey").alias("src"), name("s", "s_suppkey").alias("dst"), F.lit("n").alias("deptype")))
+        .unionByName(c.select(name("n", "c_nationkey").alias("src"), name("c", "c_custkey").alias("dst"), F.when(F.col("c_custkey") % 7 == 0, "i").otherwise("a").alias("deptype")))
+        .unionByName(s.select(name("n", "s_nationkey").alias("src"), name("s", "s_suppkey").alias("dst"), F.lit("n").alias("deptype")))
     )
 
 

@@ -74,13 +74,13 @@ def cdc_complete_txns_only(spark, sf_dir) -> DataFrame:
     return transactions.complete(log(spark, sf_dir)).select("id", "action", "xid", "lsn", "user_id", "cents")
 
 
-_SPARSE = "sparse AS (SELECT * FROM log WHERE action NOT IN ('I', 'U', 'D') OR (user_id % 3 = 0 AND xid % 4 <> 0))"
+_SPARSE = "sparse AS (SELECT * FROM log WHERE action <> 'U')"
 
 
-@query(f"WITH {LOG_SQL}, {_SPARSE} SELECT id, action, xid, lsn FROM sparse WHERE action NOT IN ('B', 'C', 'R') OR xid IN (SELECT xid FROM sparse WHERE action IN ('I', 'U', 'D')) OR xid = (SELECT max(xid) FROM log)")
+@query(f"WITH {LOG_SQL}, {_SPARSE} SELECT id, action, xid, lsn FROM sparse WHERE action NOT IN ('B', 'C', 'R') OR xid IN (SELECT xid FROM sparse WHERE action IN ('I', 'D')) OR xid = (SELECT max(xid) FROM log)")
 def cdc_empty_txn_elision(spark, sf_dir) -> DataFrame:
-    x = log(spark, sf_dir)
-    return transactions.without_empty(x.where("action NOT IN ('I', 'U', 'D') OR (user_id % 3 = 0 AND xid % 4 <> 0)")).select("id", "action", "xid", "lsn")
+    """A log without updates: transactions of updates alone are empty, and vanish if they have ended."""
+    return transactions.without_empty(log(spark, sf_dir).where("action <> 'U'")).select("id", "action", "xid", "lsn")
 
 
 _CURSORS = (0, 5, 75, 705, 706, 1405, 99_999_999)
@@ -170,14 +170,13 @@ def cdc_unchanged_fold(spark, sf_dir) -> DataFrame:
     return apply.fold(c, ["user_id"], ["cents", "props"], ["lsn"], {"cents": F.col("cents") % 4 != 0, "props": F.col("cents") % 5 != 0})
 
 
-@query(f"""WITH {LOG_SQL}, m AS (SELECT lsn, action, user_id, lag(user_id) OVER (ORDER BY lsn) AS old_id, cents FROM log WHERE action IN ('I', 'U', 'D') AND lsn <= 3000),
-x AS (SELECT lsn, 0 AS step, 'D' AS action, old_id AS user_id, cents FROM m WHERE action = 'U' AND old_id IS NOT NULL AND old_id <> user_id UNION ALL SELECT lsn, CASE WHEN action = 'U' AND old_id IS NOT NULL AND old_id <> user_id THEN 1 ELSE 0 END, CASE WHEN action = 'U' AND old_id IS NOT NULL AND old_id <> user_id THEN 'I' ELSE action END, user_id, cents FROM m)
-SELECT user_id, arg_max(cents, lsn * 2 + step) FILTER (WHERE action <> 'D') AS cents FROM x GROUP BY user_id HAVING max(lsn * 2 + step) FILTER (WHERE action <> 'D') > coalesce(max(lsn * 2 + step) FILTER (WHERE action = 'D'), -1)""")
+@query(f"""WITH {LOG_SQL}, m AS (SELECT lsn, action, user_id, action = 'U' AND cents % 4 = 0 AS moves, cents FROM log WHERE action IN ('I', 'U', 'D')),
+x AS (SELECT lsn * 2 AS pos, 'D' AS action, user_id + 1 AS user_id, cents FROM m WHERE moves UNION ALL SELECT lsn * 2 + CAST(moves AS INT), CASE WHEN moves THEN 'I' ELSE action END, user_id, cents FROM m)
+SELECT user_id, arg_max(cents, pos) FILTER (WHERE action <> 'D') AS cents FROM x GROUP BY user_id HAVING max(pos) FILTER (WHERE action <> 'D') > coalesce(max(pos) FILTER (WHERE action = 'D'), -1)""")
 def cdc_key_change(spark, sf_dir) -> DataFrame:
-    """Updates that change the key delete the old one."""
-    from pyspark.sql.window import Window
-
-    c = changes(spark, sf_dir).where("lsn <= 3000").withColumn("old_id", F.lag("user_id").over(Window.orderBy("lsn")))  # 300 rows
+    """Updates that change the key (here: from the next one, where cents divide by 4) delete the old one."""
+    moves = (F.col("action") == "U") & (F.col("cents") % 4 == 0)
+    c = changes(spark, sf_dir).withColumn("old_id", F.when(moves, F.col("user_id") + 1).otherwise(F.col("user_id")))
     return apply.fold(apply.with_moved_keys(c, ["user_id"], ["old_id"]), ["user_id"], ["cents"], ["lsn", "step"])
 
 
@@ -305,9 +304,9 @@ def cdc_segments(spark, sf_dir) -> DataFrame:
     return bounds(spark, sf_dir)
 
 
-@query(f"WITH {LOG_SQL}, {_SEG}, p AS (SELECT lsn + 3 AS lsn FROM dml WHERE event_id % 10 = 0) SELECT p.lsn, min(segment_id) AS segment_id FROM p LEFT JOIN bounds ON p.lsn >= startpos AND (endpos IS NULL OR p.lsn <= endpos) GROUP BY p.lsn")
+@query(f"WITH {LOG_SQL}, {_SEG}, p AS (SELECT lsn + 3 AS lsn FROM dml) SELECT p.lsn, min(segment_id) AS segment_id FROM p LEFT JOIN bounds ON p.lsn >= startpos AND (endpos IS NULL OR p.lsn <= endpos) GROUP BY p.lsn")
 def cdc_segment_lookup(spark, sf_dir) -> DataFrame:
-    p = changes(spark, sf_dir).where("lsn % 100 = 10").select((F.col("lsn") + 3).alias("lsn"))
+    p = changes(spark, sf_dir).select((F.col("lsn") + 3).alias("lsn"))
     return state.segment_of(p, bounds(spark, sf_dir))
 
 

@@ -129,10 +129,9 @@ def scrub_passwords(spark, sf_dir) -> DataFrame:
     return spark.createDataFrame([(r,) for r in rows], "uri string").select(text.scrubbed(F.col("uri")).alias("uri"))
 
 
-@query("SELECT c_custkey AS k, 'Customer%23' || substr(c_name, 10) || '%20%2F' AS uri FROM customer WHERE c_name LIKE 'Customer#%'")
+@query("SELECT c_custkey AS k, 'Customer%23' || substr(c_name, 10) || '%20%2F' AS uri FROM customer")
 def percent_encode(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_name LIKE 'Customer#%'")
-    return c.select(F.col("c_custkey").alias("k"), text.percent_encoded(F.concat("c_name", F.lit(" /"))).alias("uri"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), text.percent_encoded(F.concat("c_name", F.lit(" /"))).alias("uri"))
 
 
 @query("SELECT c_custkey AS k, regexp_matches(c_name, '[0-9]{2}7$') AS digits, regexp_matches(c_mktsegment, '^[A-H]') AS upper FROM customer")

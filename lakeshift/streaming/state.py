@@ -40,15 +40,25 @@ def runs(events: DataFrame) -> DataFrame:
     return x.select("process", status.alias("status"), F.when(F.col("b") > F.coalesce("d", F.lit(-1)), F.col("xid")).alias("pending_xid"), "lsn")
 
 
+#: Into how many ranges positions are cut where running sums and range joins need it.
+RANGES = 4096
+
+
+def range_step(df: DataFrame, column: str) -> tuple[int, int]:
+    """The least position, and a width of which RANGES cover all."""
+    lo, hi = df.agg(F.min(column), F.max(column)).first()
+    return (lo, (hi - lo) // RANGES + 1) if lo is not None else (0, 1)
+
+
 def segments(log: DataFrame, most_bytes: int, size: Column) -> DataFrame:
     """The log with segment_id: a new one begins with the transaction after which the one before holds most_bytes.
 
-    Sizes are added up by transaction first; the running sum is over transactions, of which a log has far fewer.
+    Sizes are added up by transaction, then by ranges of positions, so that the running sum over all is one over at most
+    RANGES rows, and each range sums its own transactions.
     """
     t = log.groupBy("xid").agg(F.min("lsn").alias("first_lsn"), F.sum(size).alias("bytes"))
-    # transactions in ranges of positions: sums of ranges are few, and each range is summed by itself
-    step = 1 << 20
-    t = t.withColumn("range", F.floor(F.col("first_lsn") / step))
+    lo, step = range_step(log, "lsn")
+    t = t.withColumn("range", F.floor((F.col("first_lsn") - lo) / step))
     before = t.groupBy("range").agg(F.sum("bytes").alias("range_bytes"))
     before = before.select("range", (F.sum("range_bytes").over(Window.orderBy("range")) - F.col("range_bytes")).alias("before"))
     w = Window.partitionBy("range").orderBy("first_lsn", "xid").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,14 +74,18 @@ def segment_bounds(log: DataFrame) -> DataFrame:
 
 
 def segment_of(positions: DataFrame, bounds: DataFrame) -> DataFrame:
-    """positions (lsn) with the segment that holds each: the last to begin at or before it, if it hasn't ended before.
+    """(lsn, segment_id): for each position the first segment that holds it, null if none does.
 
-    Both are merged in ranges: a segment is sent to each range that it touches.
+    A range join as an equi-join: positions are cut into ranges, and a segment goes to each range that it touches.
     """
-    low = bounds.select("segment_id", "startpos", F.coalesce("endpos", F.lit(2**62)).alias("endpos"))
-    p, b = positions.alias("p"), F.broadcast(low).alias("b") if low.count() <= 10_000 else low.alias("b")
-    found = p.join(b, (F.col("p.lsn") >= F.col("b.startpos")) & (F.col("p.lsn") <= F.col("b.endpos")), "left")
-    return found.groupBy("lsn").agg(F.min("segment_id").alias("segment_id"))
+    lo, step = range_step(positions, "lsn")
+    last = lo + step * RANGES
+    of = lambda c: F.floor((c - lo) / step)
+    b = bounds.select("segment_id", "startpos", F.least(F.coalesce("endpos", F.lit(last)), F.lit(last)).alias("stop"), F.greatest("startpos", F.lit(lo)).alias("begin")).where("begin <= stop")
+    b = b.select("segment_id", "startpos", "stop", F.explode(F.sequence(of(F.col("begin")), of(F.col("stop")))).alias("range"))
+    p = positions.select("lsn").distinct().withColumn("range", of(F.col("lsn")))
+    found = p.join(b, "range", "left").withColumn("in", (F.col("lsn") >= F.col("startpos")) & (F.col("lsn") <= F.col("stop")))
+    return found.groupBy("lsn").agg(F.min(F.when(F.col("in"), F.col("segment_id"))).alias("segment_id"))
 
 
 def successors(bounds: DataFrame) -> DataFrame:
