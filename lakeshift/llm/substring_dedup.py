@@ -40,8 +40,8 @@ SHINGLE, LEAST_WORDS, FUNCTIONS, SHIFT, SIMILARITY = 5, 50, 4, 2, 0.8
 SPAN = LEAST_WORDS - SHINGLE + 1
 #: Shared shingles of SPAN that make a Jaccard similarity of 0.8: s / (2 * SPAN - s).
 ENOUGH = int(np.ceil(2 * SPAN * SIMILARITY / (1 + SIMILARITY)))
-UNIT_BYTES, BUCKET_BYTES, HELD, MANY, NO_ID = 16 << 20, 40 << 20, 20_000, 64, -(2**63)
-M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+UNIT_BYTES, BLOCK_BYTES, BUCKET_BYTES, HELD, MANY, NO_ID = 16 << 20, 2 << 20, 40 << 20, 20_000, 64, -(2**63)
+M1, M2, NEVER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(2**64 - 1)
 SENT = "bucket int, doc_id long, text_hash long, words long, keys binary, docs binary, at binary"
 
 
@@ -81,12 +81,17 @@ def first_in(h: np.ndarray, span: int) -> np.ndarray:
 
 
 def compact_windows(x: np.ndarray, span: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of each Cartesian tree node at least ``span`` wide; x: hashes, the first of equal ones is less."""
+    """(l, c, r) of each Cartesian tree node at least ``span`` wide; x: hashes, the first of equal ones is less.
+
+    The greatest hash stands for places that can't be a minimum: they are in windows but have none of their own.
+    """
     n = len(x)
     if n < span:
         return []
     least = sliding_least(x, span)
-    places = np.flatnonzero(x <= np.max(least))
+    places = np.flatnonzero((x <= np.max(least)) & (x < NEVER))
+    if not len(places):
+        return []
     # the minimum of some window: compare with the windows' minima around each place
     lo, hi = np.maximum(places - span + 1, 0), np.minimum(places, len(least) - 1)
     top = np.concatenate([least, np.zeros(1, x.dtype)])
@@ -119,7 +124,7 @@ def window_places(h: np.ndarray, span: int = SPAN, functions: int = FUNCTIONS) -
         x = (h ^ np.uint64(0x632BE59BD9B4E019 * (k + 1) & (2**64 - 1))) * M2
         x ^= x >> np.uint64(31)
         x *= M1
-        x[~eligible] = np.uint64(2**64 - 1)
+        x[~eligible] = NEVER
         found.append(np.array([c for _, c, _ in compact_windows(x, span)], "i8"))
     places = np.unique(np.concatenate(found))
     return places[eligible[places]]
@@ -341,13 +346,13 @@ def linked(table: pa.Table) -> pa.Table:
 LINKED = "key long, doc_a long, start_a long, end_a long, doc_b long, start_b long, end_b long, around binary"
 
 
-def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_bytes: int = UNIT_BYTES, bucket_bytes: int = BUCKET_BYTES, held: int = HELD) -> tuple[DataFrame, DataFrame]:
+def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_bytes: int = UNIT_BYTES, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, held: int = HELD) -> tuple[DataFrame, DataFrame]:
     """(links, info): verified links between documents, and (doc_id, text_hash, words, rep) of all rows."""
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets, blocks = max(1, -(-size // bucket_bytes)), max(1, -(-size // unit_bytes))
+    buckets, blocks = max(1, -(-size // bucket_bytes)), max(1, -(-size // block_bytes))
     out = checkpointed(rows.mapInArrow(lambda it: sent(it, buckets, unit_bytes), SENT))
     info = out.where("bucket IS NULL").select("doc_id", "text_hash", "words")
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
