@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshift.llm import decontamination, line_dedup, packing, quality, simhash
-from lakeshift.llm.common import documents, shared_dir
+from lakeshift.llm.common import documents, shared_dir, spread
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; what the others write stays in the shared checkpoint folder."""
-    docs = documents(spark, sf_dir)
+    docs = spread(documents(spark, sf_dir))
     out = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{out}/{k}-{name}")

@@ -17,6 +17,12 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores, where a table has too few files for them (small tables); else as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df._jdf.toJavaRDD().getNumPartitions() <= cores else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

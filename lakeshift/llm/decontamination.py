@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import checkpointed, documents
+from lakeshift.llm.common import checkpointed, documents, spread
 
 WINDOW, MIN_WINDOWS, LEAST_TOKENS, LITERALS, BROADCAST_ROWS = 8, 6, 6, 5, 200_000
 UNITS = "mm|cm|m|km|in|inch|inches|ft|feet|foot|yd|yards?|miles?|mg|g|kg|lb|lbs|pounds?|oz|ounces?|tons?|ml|l|liters?|litres?|gallons?|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|percent|dollars?|cents?|euros?|usd|eur|degrees?"
@@ -126,5 +126,5 @@ def consistent(rows: DataFrame, slotted: DataFrame, hits: DataFrame, items: Data
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document and benchmark item (class) of which it holds a passage."""
-    found = matches(documents(spark, sf_dir).select("doc_id", "text"), documents(spark, sf_dir, "benchmark"))
+    found = matches(spread(documents(spark, sf_dir).select("doc_id", "text")), documents(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "item_id", "n_items", "n_windows", "item_windows", "first_token", F.col("n_slots").cast("long").alias("n_slots"), F.col("n_conflicts").cast("long").alias("n_conflicts"))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakeshift.llm.common import ASCII_SPACE, ascii_lower, checkpointed, documents, shuffle_partitions, wide_hash
+from lakeshift.llm.common import ASCII_SPACE, ascii_lower, checkpointed, documents, shuffle_partitions, spread, wide_hash
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Ranges of the hash, as a power of two.
@@ -99,7 +99,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    found = dedup_lines(spread(documents(spark, sf_dir).select("doc_id", "text")))
     return found.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), F.sha2(F.col("_kept_text"), 256).alias("kept_sha256"), F.col("_keep_bitmap").alias("keep_bitmap"))
 
 

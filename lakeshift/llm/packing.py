@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import documents, small_batches
+from lakeshift.llm.common import documents, small_batches, spread
 
 WINDOW, END_ID, BLOCK_ROWS = 4096, 2, 2048
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -201,4 +201,4 @@ def default_tokenizer() -> str:
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 4096 tokens."""
-    return pack(documents(spark, sf_dir), default_tokenizer())
+    return pack(spread(documents(spark, sf_dir).select("doc_id", "text")), default_tokenizer())

@@ -25,9 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import documents, small_batches
+from lakeshift.llm.common import documents, shuffle_partitions, small_batches, spread
 
-BUCKETS, DIM, GRAMS, EPOCHS, RATE, MOST, THRESHOLD = 1 << 17, 8, (3, 4), 6, 0.5, 4000, 0.3
+BUCKETS, DIM, GRAMS, EPOCHS, RATE, MOST, THRESHOLD = 1 << 17, 8, (3, 4), 3, 0.5, 4000, 0.3
 REPEAT = 0
 CACHED = 500_000
 
@@ -45,8 +45,9 @@ def repeats(words: list[bytes]) -> int:
     return sum(map(bytes.__eq__, words, words[1:]))
 
 
-def bag(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Features of a text with weights that sum to 1."""
+def bag(text: str, buckets: int = BUCKETS, known: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features of a text with weights that sum to 1; known: words' features, to be filled."""
+    known = {} if known is None else known
     words = text.encode("utf-8", "surrogatepass").split()
     counts: dict[bytes, int] = {}
     for w in words:
@@ -54,7 +55,7 @@ def bag(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     again = repeats(words)
     ids, weights = [[REPEAT]], [[again]]
     for w, c in counts.items():
-        f = features(w, buckets)
+        f = known.get(w) or known.setdefault(w, features(w, buckets))
         ids.append(f)
         weights.append([c / len(f)] * len(f))
     ids, back = np.unique(np.concatenate([np.array(x, "i8") for x in ids]), return_inverse=True)
@@ -64,8 +65,9 @@ def bag(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
 
 def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [bag(x or "") for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0].tobytes() for f in found], pa.binary()), pa.array([f[1].tobytes() for f in found], pa.binary())], names=["label", "ids", "weights"])
+        known: dict = {}
+        found = [bag(x or "", known=known) for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([f[0].tobytes() for f in found], pa.binary()), pa.array([f[1].tobytes() for f in found], pa.binary())], names=["key", "label", "ids", "weights"])
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> tuple[np.ndarray, float]:
@@ -142,7 +144,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column | None = None, id_col:
         label = label.where(keep)
     sample = label.select(F.col(id_col).alias("_id"), F.col(label_col).cast("long").alias("label")).orderBy(F.xxhash64("_id"), "_id", "label").limit(most)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "_id").orderBy(F.xxhash64("_id"), "label", F.xxhash64("text")).limit(most)
-    rows = texts.select("label", "text").mapInArrow(bags, "label long, ids binary, weights binary").collect()
+    rows = texts.select(F.xxhash64("_id").alias("key"), "label", "text").repartition(shuffle_partitions(docs.sparkSession)).mapInArrow(bags, "key long, label long, ids binary, weights binary").collect()
+    rows.sort(key=lambda r: (r.key, r.label, bytes(r.ids), bytes(r.weights)))  # whatever order they came in
     return train([(np.frombuffer(r.ids, "i4"), np.frombuffer(r.weights, "f4"), r.label) for r in rows])
 
 
@@ -164,5 +167,5 @@ def fold(id_col: str = "doc_id") -> Column:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = fit(docs, documents(spark, sf_dir, "labels"), fold() != 0)
-    found = score(docs, model, carry=["doc_id"])
+    found = score(spread(docs.select("doc_id", "text")), model, carry=["doc_id"])
     return found.select("doc_id", (fold() == 0).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import checkpointed, components, documents, shuffle_partitions, small_batches
+from lakeshift.llm.common import checkpointed, components, documents, shuffle_partitions, small_batches, spread
 
 SEED, WORDS, BITS, SHARED = 42, 3, 3, 5
 POSITIONS = [p for p in combinations(range(8), 4) if p[0] ^ p[1] ^ p[2] ^ p[3] == 0]
@@ -162,5 +162,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(documents(spark, sf_dir))
+    found = near_duplicates(spread(documents(spark, sf_dir).select("doc_id", "text")))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))

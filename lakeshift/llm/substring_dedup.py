@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshift.llm.common import checkpointed, components, documents, shuffle_partitions, small_batches
+from lakeshift.llm.common import checkpointed, components, documents, shuffle_partitions, small_batches, spread
 from lakeshift.llm.language_model import _HASHES, CACHED, packed, unpacked
 
 SHINGLE, LEAST_WORDS, FUNCTIONS, SHIFT, SIMILARITY = 5, 50, 4, 2, 0.8
@@ -410,4 +410,4 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(documents(spark, sf_dir))
+    return repeated_passages(spread(documents(spark, sf_dir).select("doc_id", "text")))
