@@ -8,7 +8,7 @@ tallied, pairs below five are dropped, and the differing bits of the others are
 
 Documents of equal fingerprint are one node, under their least id. Posting lists longer than a limit aren't expanded
 into pairs: their fingerprints are compared in blocks by numpy, which returns a spanning forest of the links only.
-Lists too long for one task (``longest``) are first split by a fifth shared byte, and then by a sixth and so on.
+Lists longer than ``longest`` are first split by a fifth shared byte.
 
 Nulls are empty texts, whose fingerprint is zero; a null id counts as larger than all others. Repeated rows share
 their component. An empty table gives no rows.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.llm.common import checkpointed, components, documents, shuffle_partitions, small_batches, spread
 
-SEED, WORDS, BITS, SHARED = 42, 3, 3, 5
+SEED, WORDS, BITS = 42, 3, 3
 POSITIONS = [p for p in combinations(range(8), 4) if p[0] ^ p[1] ^ p[2] ^ p[3] == 0]
 #: Posting lists up to this length are joined pair by pair; longer ones than LONGEST are split.
 PAIRWISE, LONGEST = 128, 20_000
@@ -115,20 +115,16 @@ def near_links(nodes: DataFrame, bits: int = BITS, pairwise: int = PAIRWISE, lon
     pairs = short.join(other, ["q", "v"]).where(F.col("fp") < F.col("fp2"))
     pairs = pairs.where(shared_bytes(F.col("fp"), F.col("fp2")) >= 8 - bits)
     links = pairs.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= bits).select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
-    many = lists.agg(F.max("n")).first()[0] or 0
-    if many > pairwise:
-        long = postings.where(F.col("n") > pairwise).select(F.concat_ws(",", "q", "v").alias("key"), F.array([F.array([F.lit(x) for x in p]) for p in POSITIONS])[F.col("q")].alias("used"), "fp", "n")
-        for _ in range(4):
-            if many <= longest:
-                break
-            # of the positions left, one more byte is shared: at most three of them differ
-            spread = long.where(F.col("n") > longest).select("key", F.explode(F.array_except(F.array(*[F.lit(x) for x in range(8)]), "used")).alias("p"), "used", "fp")
-            spread = spread.select(F.concat_ws(",", "key", "p", F.expr("shiftrightunsigned(fp, p * 8) & 255")).alias("key"), F.array_append("used", F.col("p")).alias("used"), "fp")
-            spread = spread.join(spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key").select("key", "used", "fp", "n")
-            long = checkpointed(long.where(F.col("n") <= longest).unionByName(spread))
-            many = long.agg(F.max("n")).first()[0] or 0
-            if not long.where(F.col("n") > longest).where(F.size("used") < 5 + (8 - SHARED) - bits).take(1):
-                break
+    most = lists.agg(F.max("n")).first()[0] or 0
+    if most > pairwise:
+        used = F.array([F.array([F.lit(x) for x in p]) for p in POSITIONS])[F.col("q")]
+        long = postings.where(F.col("n") > pairwise).select(F.concat_ws(",", "q", "v").alias("key"), used.alias("used"), "fp", "n")
+        if most > longest:
+            # at most three of the other four bytes differ, so one is shared; no list then has more than 2^24 fingerprints
+            other = F.array_except(F.array(*[F.lit(x) for x in range(8)]), "used")
+            fifth = long.where(F.col("n") > longest).select("key", "fp", F.explode(other).alias("p"))
+            fifth = fifth.select(F.concat_ws(",", "key", "p", F.expr("shiftrightunsigned(fp, p * 8) & 255")).alias("key"), "fp")
+            long = long.where(F.col("n") <= longest).select("key", "fp").unionByName(fifth)
         links = links.unionByName(long.select("key", "fp").groupBy("key").applyInArrow(lambda t: long_list(t, bits), "a long, b long"))
     return links
 
