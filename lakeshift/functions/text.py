@@ -8,6 +8,11 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Units of sizes (powers of 1024), rates and counts (powers of 1000).
+BYTE_UNITS = ["B", "kB", "MB", "GB", "TB", "PB", "EB"]
+RATE_UNITS = ["Bit/s", "kBit/s", "MBit/s", "GBit/s", "TBit/s", "PBit/s", "EBit/s"]
+COUNT_NAMES = ["", "thousands", "million", "billion", "trillion", "quadrillion", "quintillion"]
+
 #: Words that need quotes as identifiers although they are lower case.
 RESERVED = ("all and any array as asc both case cast check collate column constraint create default desc distinct do else end except false for foreign from grant group having in initially intersect into leading limit not null offset on only or order placing primary references select session_user some symmetric table then to trailing true union unique user using variadic when where window with time").split()
 
@@ -57,9 +62,6 @@ def _ladder(value: Column, base: int, most: int, units: list[str]) -> Column:
     return out
 
 
-BYTE_UNITS = ["B", "kB", "MB", "GB", "TB", "PB", "EB"]
-
-
 def pretty_bytes(n: Column) -> Column:
     return _ladder(n.cast("double"), 1024, 10240, BYTE_UNITS)
 
@@ -67,13 +69,12 @@ def pretty_bytes(n: Column) -> Column:
 def pretty_rate(n: Column, ms: Column) -> Column:
     """Bits a second in powers of 1000, from bytes and milliseconds."""
     bits = n.cast("double") * 8000.0 / F.nullif(ms, F.lit(0)).cast("double")
-    return F.when(ms == 0, F.lit("0 B/s")).otherwise(_ladder(bits, 1000, 10000, ["Bit/s", "kBit/s", "MBit/s", "GBit/s", "TBit/s", "PBit/s", "EBit/s"]))
+    return F.when(ms == 0, F.lit("0 B/s")).otherwise(_ladder(bits, 1000, 10000, RATE_UNITS))
 
 
 def pretty_count(n: Column) -> Column:
     thousands = F.concat(F.floor(n / 1000).cast("string"), F.lit(" "), F.lpad((n % 1000).cast("string"), 3, "0"))
-    names = ["", "thousands", "million", "billion", "trillion", "quadrillion", "quintillion"]
-    return F.when(n < 1000, n.cast("string")).when(n < 1_000_000, thousands).otherwise(_ladder(n.cast("double"), 1000, 10000, names))
+    return F.when(n < 1000, n.cast("string")).when(n < 1_000_000, thousands).otherwise(_ladder(n.cast("double"), 1000, 10000, COUNT_NAMES))
 
 
 def pretty_interval(ms: Column) -> Column:
@@ -139,7 +140,7 @@ def scrubbed(uri: Column) -> Column:
     return F.regexp_replace(x, r"(?i)(password=)('[^']*'|[^\s&]*)", "$1****")
 
 
-#: Classes of POSIX bracket expressions and their Java names.
+#: Classes of POSIX bracket expressions and their Java names.
 POSIX_CLASSES = {"alpha": "\\p{Alpha}", "digit": "\\p{Digit}", "alnum": "\\p{Alnum}", "upper": "\\p{Upper}", "lower": "\\p{Lower}", "space": "\\s", "punct": "\\p{Punct}", "xdigit": "\\p{XDigit}", "blank": "\\p{Blank}", "cntrl": "\\p{Cntrl}", "print": "\\p{Print}", "graph": "\\p{Graph}", "word": "\\w"}
 
 

@@ -235,9 +235,6 @@ def extension_versions(spark, sf_dir) -> DataFrame:
     return catalog.extension_versions(spark.createDataFrame(rows, "extname string, path string"))
 
 
-_TIMING = "SELECT event_type AS section, CAST(1 AS BIGINT) AS count, CAST(value AS BIGINT) AS bytes, user_id AS duration_ms, event_id % 3 AS datname FROM events"
-
-
 def timings(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("event_type").alias("section"), F.lit(1).cast("long").alias("count"), F.round("value").cast("long").alias("bytes"), F.col("user_id").alias("duration_ms"), (F.col("event_id") % 3).alias("datname"))
 

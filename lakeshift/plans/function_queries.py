@@ -29,7 +29,7 @@ def pretty_bytes(spark, sf_dir) -> DataFrame:
     return sizes(spark, sf_dir).select("k", text.pretty_bytes(F.col("n")).alias("pretty"))
 
 
-_COUNTS = ladder_sql("CAST(n AS DOUBLE)", 1000, 10000, ["", "thousands", "million", "billion", "trillion", "quadrillion", "quintillion"])
+_COUNTS = ladder_sql("CAST(n AS DOUBLE)", 1000, 10000, text.COUNT_NAMES)
 
 
 @query(f"SELECT k, CASE WHEN n < 1000 THEN CAST(n AS VARCHAR) WHEN n < 1000000 THEN CAST(n // 1000 AS VARCHAR) || ' ' || lpad(CAST(n % 1000 AS VARCHAR), 3, '0') ELSE {_COUNTS} END AS pretty FROM (SELECT k, n // (1 + k % 3 * 5000) AS n FROM ({_SIZES}))")
@@ -38,7 +38,7 @@ def pretty_count(spark, sf_dir) -> DataFrame:
     return sizes(spark, sf_dir).select("k", n.alias("n")).select("k", text.pretty_count(F.col("n")).alias("pretty"))
 
 
-_RATE = ladder_sql("(CAST(n AS DOUBLE) * 8000.0 / CAST(ms AS DOUBLE))", 1000, 10000, ["Bit/s", "kBit/s", "MBit/s", "GBit/s", "TBit/s", "PBit/s", "EBit/s"])
+_RATE = ladder_sql("(CAST(n AS DOUBLE) * 8000.0 / CAST(ms AS DOUBLE))", 1000, 10000, text.RATE_UNITS)
 
 
 @query(f"SELECT k, CASE WHEN ms = 0 THEN '0 B/s' ELSE {_RATE} END AS pretty FROM (SELECT k, n, k % 97 * 10 AS ms FROM ({_SIZES}))")

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeshift.functions.text import posix_regex
 
+#: The sections of a rule file.
 SECTIONS = ("include-only-schema", "exclude-schema", "include-only-table", "exclude-table", "exclude-table-data", "exclude-index", "include-only-extension", "exclude-extension")
 SCHEMA_SECTIONS = ("include-only-schema", "exclude-schema", "include-only-extension", "exclude-extension")
-#: Delimiters of patterns: what opens and what closes.
+#: Delimiters of patterns, what opens and what closes.
 DELIMITERS = {"/": "/", "[": "]", "{": "}", "(": ")", "<": ">", '"': '"', "'": "'", "|": "|", "#": "#", "$": "$"}
 ROWS = "section string, nspname string, nspname_re string, relname string, relname_re string"
 #: What a selection asks for when its complement is wanted.

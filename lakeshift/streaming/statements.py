@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakeshift.functions.text import quote_always
 from lakeshift.streaming.transactions import with_run
 
+#: Fixed value: how many parameters a statement can have.
 MAX_PARAMS = 65535
 PAIR = "array<struct<name:string,value:string>>"
 
