@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshift.plans.frames import table
+from lakeshift.plans.frames import shared_path, spread, table
 from lakeshift.plans.registry import query
 from lakeshift.streaming import apply, decode, state, statements, transactions
 from lakeshift.streaming.stream import Applier
@@ -232,7 +232,7 @@ def _props():
 @query(_DECODED)
 def cdc_json_decode(spark, sf_dir) -> DataFrame:
     """JSON messages rendered from the events, decoded again."""
-    c = changes(spark, sf_dir)
+    c = spread(changes(spark, sf_dir))
     col = lambda n, t, v: F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"), v.alias("value"))
     new = F.array(col("user_id", "bigint", F.col("user_id").cast("string")), col("cents", "bigint", F.col("cents").cast("string")), col("props", "text", _props()))
     old = F.array(col("user_id", "bigint", F.col("user_id").cast("string")))
@@ -243,7 +243,7 @@ def cdc_json_decode(spark, sf_dir) -> DataFrame:
 @query(_DECODED)
 def cdc_text_decode(spark, sf_dir) -> DataFrame:
     """Textual messages with quoted values rendered from the events, decoded again."""
-    c = changes(spark, sf_dir)
+    c = spread(changes(spark, sf_dir))
     quoted = F.coalesce(F.concat(F.lit("'"), F.replace(_props(), F.lit("'"), F.lit("''")), F.lit("'")), F.lit("null"))
     key = F.concat(F.lit("user_id[bigint]:"), F.col("user_id").cast("string"))
     new = F.concat(key, F.lit(" cents[numeric(20,0)]:"), F.col("cents").cast("string"), F.lit(" props[text[]]:"), quoted)
@@ -268,7 +268,7 @@ def relation_message(oid: int = 7) -> bytes:
 @query(_DECODED)
 def cdc_binary_decode(spark, sf_dir) -> DataFrame:
     """Binary messages rendered from the events in eight streams, each with its relation, decoded again."""
-    c = changes(spark, sf_dir).select("id", "lsn", "xid", (F.col("xid") % 8).alias("stream"), "action", F.col("user_id").cast("string").alias("u"), F.col("cents").cast("string").alias("c"), _props().alias("p"))
+    c = spread(changes(spark, sf_dir)).select("id", "lsn", "xid", (F.col("xid") % 8).alias("stream"), "action", F.col("user_id").cast("string").alias("u"), F.col("cents").cast("string").alias("c"), _props().alias("p"))
 
     def encode(batches):
         for b in batches:
@@ -352,8 +352,6 @@ def cdc_matview_refresh(spark, sf_dir) -> DataFrame:
 @query(f"WITH {LOG_SQL}, {_TXN}, c AS (SELECT l.* FROM log l JOIN t ON l.xid = t.xid WHERE t.outcome = 'commit' AND l.action IN ('I', 'U', 'D')), {_STATE}")
 def stream_cdc_apply(spark, sf_dir) -> DataFrame:
     """The state that a stream of the log in several files leaves, applied batch by batch."""
-    from lakeshift.plans.frames import shared_path
-
     path = shared_path(spark, "stream")
     x = log(spark, sf_dir).withColumn("u", F.col("cents") % 2 != 0)
     x.repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(f"{path}/log")
