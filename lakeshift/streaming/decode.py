@@ -177,80 +177,125 @@ def with_identity(decoded: DataFrame, keys: DataFrame) -> DataFrame:
     return x.select("id", "lsn", "xid", "action", "nspname", "relname", F.when(lacks, "K").otherwise(F.col("old_type")).alias("old_type"), F.when(lacks, F.concat("cols", own)).otherwise(F.col("cols")).alias("cols"))
 
 
+Relation = tuple[str, str, list[tuple[str, bool]]]
+
+
+def _string(data: bytes, at: int) -> tuple[str, int]:
+    end = data.index(b"\0", at)
+    return data[at:end].decode(), end + 1
+
+
+def relation_of(data: bytes) -> tuple[int, Relation]:
+    """(oid, (schema, relation, [(column, in the key)])) of a message that describes a relation."""
+    (oid,) = struct.unpack_from(">I", data, 1)
+    nsp, at = _string(data, 5)
+    rel, at = _string(data, at)
+    (n,) = struct.unpack_from(">H", data, at + 1)
+    at, columns = at + 3, []
+    for _ in range(n):
+        name, end = _string(data, at + 1)
+        columns.append((name, bool(data[at] & 1)))
+        at = end + 8
+    return oid, (nsp, rel, columns)
+
+
+def _tuple(data: bytes, at: int, columns: list[tuple[str, bool]], section: str) -> tuple[list[tuple], int]:
+    (n,) = struct.unpack_from(">H", data, at)
+    at, out = at + 2, []
+    for pos in range(n):
+        status = chr(data[at])
+        at, value = at + 1, None
+        if status in "tb":
+            (size,) = struct.unpack_from(">I", data, at)
+            raw = data[at + 4 : at + 4 + size]
+            at, value, status = at + 4 + size, raw.decode() if status == "t" else "\\x" + raw.hex(), "t"
+        out.append((section, pos, columns[pos][0], status, value))
+    return out, at
+
+
+def change_of(data: bytes, relation: Relation | None) -> tuple | None:
+    """(action, xid, lsn, nspname, relname, old_type, columns) of one message; None for what is skipped."""
+    kind = chr(data[0])
+    if kind == "B":
+        lsn, _, xid = struct.unpack_from(">QQI", data, 1)
+        return "B", xid, lsn, None, None, None, []
+    if kind == "C":
+        (lsn,) = struct.unpack_from(">Q", data, 2)
+        return "C", None, lsn, None, None, None, []
+    if kind not in "IUDT":
+        return None
+    if relation is None:
+        raise LexError("a change of a relation that wasn't described")
+    nsp, rel, columns = relation
+    if kind == "T":
+        return "T", None, None, nsp, rel, None, []
+    at, old_type, old, new = 5, None, [], []
+    if chr(data[at]) in "KO":
+        old_type = chr(data[at])
+        old, at = _tuple(data, at + 1, columns, old_type)
+    if at < len(data) and chr(data[at]) == "N":
+        new, at = _tuple(data, at + 1, columns, "N")
+    if kind == "U" and old_type is None:  # the key hasn't changed: it is that of the new tuple
+        keys = {n for n, is_key in columns if is_key}
+        old_type, old = "K", [("K", *c[1:]) for c in new if c[2] in keys]
+    return kind, None, None, nsp, rel, old_type, new + old
+
+
+def truncated_oids(data: bytes) -> list[int]:
+    (n,) = struct.unpack_from(">I", data, 1)
+    return list(struct.unpack_from(f">{n}I", data, 6))
+
+
 class BinaryReader:
-    """Reads the binary messages of one stream, in order: relations are described before they are used."""
+    """Reads the binary messages of one stream, one after another; the first description of a relation counts."""
 
     def __init__(self) -> None:
-        self.relations: dict[int, tuple[str, str, list[tuple[str, bool]]]] = {}
-
-    @staticmethod
-    def _string(data: bytes, at: int) -> tuple[str, int]:
-        end = data.index(b"\0", at)
-        return data[at:end].decode(), end + 1
-
-    def _tuple(self, data: bytes, at: int, relation: int, section: str) -> tuple[list[tuple], int]:
-        (n,) = struct.unpack_from(">H", data, at)
-        at, out = at + 2, []
-        for pos in range(n):
-            status = chr(data[at])
-            at, value = at + 1, None
-            if status in "tb":
-                (size,) = struct.unpack_from(">I", data, at)
-                value = data[at + 4 : at + 4 + size].decode() if status == "t" else "\\x" + data[at + 4 : at + 4 + size].hex()
-                at, status = at + 4 + size, "t"
-            out.append((section, pos, self.relations[relation][2][pos][0], status, value))
-        return out, at
+        self.relations: dict[int, Relation] = {}
 
     def read(self, data: bytes) -> list[tuple]:
-        """(action, xid, lsn, nspname, relname, old_type, columns) rows; a truncate of several tables is several rows."""
+        """Rows of change_of; a truncate of several tables is several rows."""
         kind = chr(data[0])
-        if kind == "B":
-            lsn, _, xid = struct.unpack_from(">QQI", data, 1)
-            return [("B", xid, lsn, None, None, None, [])]
-        if kind == "C":
-            lsn, _, _ = struct.unpack_from(">QQQ", data, 2)
-            return [("C", None, lsn, None, None, None, [])]
         if kind == "R":
-            (oid,) = struct.unpack_from(">I", data, 1)
-            nsp, at = self._string(data, 5)
-            rel, at = self._string(data, at)
-            (n,) = struct.unpack_from(">H", data, at + 1)
-            at, columns = at + 3, []
-            for _ in range(n):
-                name, end = self._string(data, at + 1)
-                columns.append((name, bool(data[at] & 1)))
-                at = end + 8
-            self.relations.setdefault(oid, (nsp, rel, columns))
+            oid, relation = relation_of(data)
+            self.relations.setdefault(oid, relation)
             return []
-        if kind == "T":
-            n, _ = struct.unpack_from(">IB", data, 1)
-            return [("T", None, None, *self.relations[oid][:2], None, []) for oid in struct.unpack_from(f">{n}I", data, 6)]
-        if kind not in "IUD":
-            return []
-        (oid,) = struct.unpack_from(">I", data, 1)
-        at, old_type, old, new = 5, None, [], []
-        if chr(data[at]) in "KO":
-            old_type = chr(data[at])
-            old, at = self._tuple(data, at + 1, oid, old_type)
-        if at < len(data) and chr(data[at]) == "N":
-            new, at = self._tuple(data, at + 1, oid, "N")
-        if kind == "U" and old_type is None:  # the key hasn't changed: it is that of the new tuple
-            keys = {n for n, is_key in self.relations[oid][2] if is_key}
-            old_type, old = "K", [("K", *c[1:]) for c in new if c[2] in keys]
-        return [(kind, None, None, *self.relations[oid][:2], old_type, new + old)]
+        oids = truncated_oids(data) if kind == "T" else [struct.unpack_from(">I", data, 1)[0]] if kind in "IUD" else [None]
+        found = [change_of(data, self.relations.get(o)) for o in oids]
+        return [f for f in found if f is not None]
+
+
+RELATIONS = "stream long, oid long, at long, nspname string, relname string, names array<string>, keys array<boolean>"
 
 
 def from_binary_messages(messages: DataFrame) -> DataFrame:
-    """DECODED rows of (stream, id, lsn, xid, message): each stream is read in the order of its ids."""
+    """DECODED rows of (stream, id, lsn, xid, message), each message by itself.
+
+    Descriptions of relations are read first, the earliest of each oid counts, and changes are joined with theirs, so
+    that a stream's messages may be read by many tasks. A change before its relation's description is read with it, too.
+    """
+    kind = F.substring("message", 1, 1)
+    number = lambda start: F.conv(F.hex(F.substring("message", start, 4)), 16, 10).cast("long")
+
+    def relations(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(s, i, *relation_of(bytes(m))) for s, i, m in zip(b["stream"], b["id"], b["message"], strict=True)]
+            yield pd.DataFrame([(s, oid, i, nsp, rel, [c[0] for c in cs], [c[1] for c in cs]) for s, i, oid, (nsp, rel, cs) in rows], columns=["stream", "oid", "at", "nspname", "relname", "names", "keys"])
 
-    def read(rows: pd.DataFrame) -> pd.DataFrame:
-        reader, out = BinaryReader(), []
-        for i, lsn, xid, m in rows.sort_values("id")[["id", "lsn", "xid", "message"]].itertuples(index=False):
-            for action, own_xid, own_lsn, nsp, rel, old, cols in reader.read(bytes(m)):
+    known = messages.where(kind == b"R").select("stream", "id", "message").mapInPandas(relations, RELATIONS)
+    first = known.groupBy("stream", "oid").agg(F.min_by(F.struct("nspname", "relname", "names", "keys"), "at").alias("r")).select("stream", "oid", "r.*")
+    oids = F.when(kind == b"T", F.transform(F.sequence(F.lit(0), number(2) - 1), lambda k: F.conv(F.hex(F.substring(F.col("message"), k.cast("int") * 4 + 7, F.lit(4))), 16, 10).cast("long"))).when(kind.isin(b"I", b"U", b"D"), F.array(number(2)))
+    rest = messages.where(kind.isin(b"B", b"C", b"I", b"U", b"D", b"T")).select("stream", "id", "lsn", "xid", "message", F.explode_outer(oids).alias("oid"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, lsn, xid, m, nsp, rel, names, keys in b[["id", "lsn", "xid", "message", "nspname", "relname", "names", "keys"]].itertuples(index=False):
+                x = change_of(bytes(m), None if names is None else (nsp, rel, list(zip(names, keys, strict=True))))
+                action, own_xid, own_lsn, nsp, rel, old, cols = x
                 out.append((i, lsn if own_lsn is None else own_lsn, xid if own_xid is None else own_xid, action, nsp, rel, old, _structs(cols)))
-        return _frame(out)
+            yield _frame(out)
 
-    return messages.groupBy("stream").applyInPandas(read, DECODED)
+    return rest.join(first, ["stream", "oid"], "left").select("id", "lsn", "xid", "message", "nspname", "relname", "names", "keys").mapInPandas(read, DECODED)
 
 
 def sent_columns(cols: Column, section: str) -> Column:

@@ -106,6 +106,14 @@ def test_binary_messages():
     assert got[5] == "O" and [c[3] for c in got[6]] == ["t", "u", "u", "t", "u", "n"]
 
 
+def test_binary_messages_of_many_tasks(spark):
+    truncate = b"T" + struct.pack(">IBII", 2, 0, 7, 8)
+    rows = [(0, 5, 50, 1, binary_message("I", "1", "2", "x")), (0, 1, 10, 1, relation_message()), (0, 2, 10, 1, relation_message(8)), (0, 9, 90, 1, truncate), (0, 3, 30, 1, b"B" + struct.pack(">QQI", 77, 0, 9)), (1, 1, 10, 2, relation_message()), (1, 4, 40, 2, binary_message("D", "1", "2", None)), (0, 8, 80, 1, b"Y whatever")]
+    df = spark.createDataFrame([(*r[:4], bytearray(r[4])) for r in rows], "stream long, id long, lsn long, xid long, message binary").repartition(3)
+    got = sorted((r.id, r.action, r.lsn, r.xid, r.relname, len(r.cols)) for r in decode.from_binary_messages(df).collect())
+    assert [g[:4] for g in got] == [(3, "B", 77, 9), (4, "D", 40, 2), (5, "I", 50, 1), (9, "T", 90, 1), (9, "T", 90, 1)] and got[2][5] == 3
+
+
 def test_sent_columns(spark):
     rows = [([("K", 0, "a", "t", "1"), ("K", 1, "b", "n", None), ("N", 0, "a", "n", None), ("N", 1, "b", "u", None)],)]
     df = spark.createDataFrame(rows, f"cols array<{decode.COLUMN}>")
