@@ -97,9 +97,10 @@ def deal_blocks(blocks: list[tuple[int, int, int]], flow: dict[tuple[int, int],
         over = max(range(len(want)), key=lambda j: total[j] - want[j])
         under = min(range(len(want)), key=lambda j: total[j] - want[j])
         gap = (total[over] - want[over]) - (total[under] - want[under])
-        best = min(((abs(gap / 2 - s), k) for k, s in held[over].items() if 0 < s < gap), default=None)
+        # blocks that have left their shard first: they cost nothing more
+        best = min(((k[0] == over, abs(gap / 2 - s), k) for k, s in held[over].items() if 0 < s < gap), default=None)
         if best is not None:
-            key = best[1]
+            key = best[2]
             give, take = held[over].pop(key), 0
             held[under][key] = give
             to[key] = under
