@@ -241,3 +241,30 @@ def test_following_to_an_end(spark, tmp_path):
     assert run() == "done" and rows_of(a) == [(1, "a"), (2, "b")] and ended == [1]
     control.set(replay_lsn=3)
     assert control.get()["replay_lsn"] == 25
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_log_gives_what_its_changes_give_one_by_one(spark, tmp_path, seed):
+    import random
+
+    rng = random.Random(seed)
+    log, state, at = [], {}, 10
+    for xid in range(1, 9):
+        rows = [(rng.choice("IIUUDT" if rng.random() < 0.2 else "IIUUD"), rng.randrange(6), f"{xid}.{n}") for n in range(rng.randrange(4))]
+        rows = [(a, None if a == "T" else k, v if a in "IU" else None) for a, k, v in rows]
+        end = rng.choice(["C", "C", "C", "R", None]) if xid < 8 else None
+        log.append(txn(xid, at, rows, end))
+        at += 10
+        if end == "C":
+            for a, k, v in rows:
+                if a == "T":
+                    state.clear()
+                elif a == "D":
+                    state.pop(k, None)
+                else:
+                    state[k] = v
+    messages = [m for t in log for m in t]
+    cut = sorted(rng.sample(range(len(messages)), 2))
+    files = [messages[: cut[0]], messages[cut[0] : cut[1]], messages[cut[1] :] + rng.sample(messages, 3)]  # some come twice
+    a = applied(spark, tmp_path, [f for f in files if f])
+    assert rows_of(a) == sorted(state.items())
