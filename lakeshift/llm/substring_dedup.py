@@ -13,7 +13,7 @@ id. (3) The texts of these windows are read again, and each window gets one byte
 both sides. (4) Windows of one key are compared: two are linked if some ``span`` shingles around c have a Jaccard
 similarity of 0.8 at least (41 of 46 shared; words may be missing or new: places may shift by up to two). Links are a
 spanning forest for each key, breadth-first from each window that isn't reached: nothing is lost, and no group becomes
-all its pairs. Keys with more windows than a task should hold are compared in salted groups first, of which one window
+all its pairs. In large groups only windows that share bytes far from the middle, shifted or not, are compared. Keys with more windows than a task should hold are compared in salted groups first, of which one window
 of each linked set goes on. (5) Links and exact copies give the documents' classes.
 
 A shingle that occurred in the ``span`` positions before it takes no part in the minima, so that text that repeats a
@@ -296,6 +296,54 @@ def far_groups(around: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
                     yield rows[group]
 
 
+def shifted_links(around: np.ndarray, rows: np.ndarray, known: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Links among rows that ``known`` ones don't connect yet and that only agree with places shifted.
+
+    As in far_groups, one pair of neighbours is whole; each of its two bytes may be found up to SHIFT places away, so
+    that a row's pair meets all 25 such pairs of the others. Rows of equal bytes are linked already: one stands for all.
+    """
+    up = {k: k for k in rows.tolist()}
+
+    def top(k: int) -> int:
+        while up[k] != k:
+            up[k] = k = up[up[k]]
+        return k
+
+    for p in known:
+        for a, b in p[:, :2].tolist():
+            up[top(a)] = top(b)
+    rows = rows[np.unique(around[rows], axis=0, return_index=True)[1]]
+    label = np.array([top(k) for k in rows.tolist()], "i8")
+    moves = range(-SHIFT, SHIFT + 1)
+    for side in (1, -1):
+        for k in range(6):
+            i, j = SPAN - 1 + side * (SPAN // 4 + 1 + 2 * k), SPAN - 1 + side * (SPAN // 4 + 2 + 2 * k)
+            pair = lambda s, t: around[rows, i + s].astype("u2") << 8 | around[rows, j + t]  # noqa: B023, E731
+            value = np.concatenate([pair(s, t) for s in moves for t in moves if s or t])
+            order = np.argsort(value, kind="stable")
+            owner, value = np.tile(np.arange(len(rows)), (2 * SHIFT + 1) ** 2 - 1)[order], value[order]
+            own = pair(0, 0)
+            whole = (around[rows, i] > 0) & (around[rows, j] > 0)
+            lo = np.searchsorted(value, own)
+            n = np.where(whole, np.searchsorted(value, own, side="right") - lo, 0)
+            ends = np.cumsum(n)
+            for start in range(0, int(ends[-1]), 1 << 16):  # candidates by their number
+                c = np.arange(start, min(start + (1 << 16), int(ends[-1])))
+                a = np.searchsorted(ends, c, side="right")
+                b = owner[lo[a] + c - (ends[a] - n[a])]
+                other = label[a] != label[b]
+                a, b = np.unique(np.column_stack([a[other], b[other]]), axis=0).T
+                for at in range(0, len(a), 4096):
+                    x, y = a[at : at + 4096], b[at : at + 4096]
+                    ok, first, last = agreeing(around[rows[x]], around[rows[y]])
+                    if ok.any():
+                        found = np.column_stack([rows[x], rows[y], first, last])[ok]
+                        yield found
+                        for one, two in found[:, :2].tolist():
+                            up[top(one)] = top(two)
+                        label = np.array([top(r) for r in label.tolist()], "i8")
+
+
 def linked(table: pa.Table) -> pa.Table:
     """Links (doc_a, start_a, end_a, doc_b, start_b, end_b) in words that connect, for each key, all that agree; ends are beyond.
 
@@ -324,11 +372,14 @@ def linked(table: pa.Table) -> pa.Table:
             pairs += found
         else:
             more = own[~reached[own]]
+            known = [np.column_stack([np.full(len(own), g), own])[reached[own]]]
             for group in far_groups(around, own):
                 if not reached[group].all():
                     was = reached[group]  # each group tells by itself what belongs together
-                    pairs += near_in(around, np.sort(group), reached)[0]
+                    known += near_in(around, np.sort(group), reached)[0]
                     reached[group] = was
+            pairs += known[1:]
+            pairs += shifted_links(around, own, known)
         roots.append(more)
     p = np.concatenate(pairs) if pairs else np.zeros((0, 4), "i8")
     p = p[doc[p[:, 0]] != doc[p[:, 1]]]

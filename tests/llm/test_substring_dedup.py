@@ -86,6 +86,40 @@ def test_split_groups(docs_of):
     assert all(len(x) == 1 and 22 <= x[0][0] <= 30 and 100 <= x[0][1] <= 108 for x in spans(rows).values())
 
 
+def windows_of(rows):
+    """A table of windows of one key, as surroundings() makes it."""
+    import pyarrow as pa
+
+    n = len(rows)
+    return pa.table({"key": pa.array([7] * n, pa.int64()), "doc_id": pa.array(range(n), pa.int64()), "at": pa.array([100] * n, pa.int64()), "n": pa.array([n] * n, pa.int64()), "around": pa.array([r.astype("u1").tobytes() for r in rows], pa.binary())})
+
+
+def link_sets(rows):
+    up = list(range(len(rows)))
+    for a, b in zip(*(s.linked(windows_of(rows))[c].to_pylist() for c in ("doc_a", "doc_b")), strict=True):
+        if b is not None:
+            up = [up[a] if k == up[b] else k for k in up]
+    return {frozenset(k for k in range(len(rows)) if up[k] == c) for c in up}
+
+
+@given(st.integers(0, 2**32), st.sampled_from([-2, -1, 1, 2]), st.sampled_from([-1, 1]))
+@settings(max_examples=25, deadline=None)
+def test_shifted_copies_meet_in_large_groups(seed, shift, side):
+    rng = np.random.default_rng(seed)
+    near, width = rng.integers(1, 256, (2, 2 * s.SPAN - 1)), 2 * s.SPAN - 1
+    # a word more or less some shingles from the middle: what lies beyond is shifted
+    cut = s.SPAN - 1 + side * 6
+    near[1] = np.where((np.arange(width) - cut) * side >= 0, np.roll(near[0], shift), near[0])
+    near[1, cut] = rng.integers(1, 256)
+    far = s.SPAN - 1 - side * 10
+    keep = (np.arange(width) - far) * side > 0
+    near[1, ~keep] = rng.integers(1, 256, int((~keep).sum()))
+    others = rng.integers(1, 256, (s.MANY + 60, width))
+    few, many = link_sets([others[0], *near, *others[1:20]]), link_sets([others[0], *near, *others[1:]])
+    assert frozenset((1, 2)) in few and len(few) == 21
+    assert frozenset((1, 2)) in many and len(many) == len(others) + 1
+
+
 def test_odd_rows(odd_docs, docs_of):
     rows = s.repeated_passages(odd_docs).collect()
     assert len(rows) == odd_docs.count()
