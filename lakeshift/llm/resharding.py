@@ -156,11 +156,21 @@ def reshard(docs: DataFrame, old_shard, shards: int, blocks: int = 16384, id_col
     )
 
 
-def rewrite(docs: DataFrame, moves: DataFrame, out: str, id_col: str = "doc_id") -> list[int]:
-    """Writes the shards whose rows change as Parquet below ``out`` (shard=N/), by ids that are unique; returns them."""
+def rewrite(docs: DataFrame, moves: DataFrame, out: str, id_col: str = "doc_id", old_shard=None) -> list[int]:
+    """Writes the shards whose rows change as Parquet below ``out`` (shard=N/); returns them.
+
+    Rows of equal id (null is one) and old shard go to the same new shard, so that each row of docs finds one place.
+    old_shard: the Column that reshard() was given; needed if rows of equal id lie in several old shards and part.
+    """
     changed = [r[0] for r in moves.where("old_shard <> shard").selectExpr("explode(array(old_shard, shard)) AS k").distinct().orderBy("k").collect()]
-    moved = moves.select(F.col("doc_id").alias(id_col), "shard").where(F.col("shard").isin(changed))
-    docs.join(moved, id_col).repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(out)
+    by = ["doc_id"] if old_shard is None else ["doc_id", "old_shard"]
+    places = moves.groupBy(*by).agg(F.min("shard").alias("shard"), F.max("shard").alias("_most"))
+    if old_shard is None and not places.where("shard <> _most").isEmpty():
+        raise ValueError("rows of equal id go to several shards: old_shard is needed")
+    places = places.where(F.col("shard").isin(changed)).select(F.col("doc_id").alias("_id"), *([] if old_shard is None else [F.col("old_shard").alias("_place")]), "shard")
+    rows = docs if old_shard is None else docs.withColumn("_old", old_shard.cast("int"))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) if old_shard is None else F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_old") == F.col("_place"))
+    rows.join(places, same).drop("_id", "_old", "_place").repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(out)
     return changed
 
 

@@ -64,3 +64,22 @@ def test_rewrites_affected_shards_alone(docs_of, tmp_path):
     changed = r.rewrite(docs, moves, str(tmp_path / "new"))
     back = docs.sparkSession.read.parquet(str(tmp_path / "new"))
     assert 0 in changed and back.count() == moves.where(F.col("shard").isin(changed)).count()
+
+
+def test_rewrites_nulls_and_repeated_ids(docs_of, tmp_path):
+    import pytest
+
+    docs = docs_of([(k, "x" * 100) for k in range(60)] + [(None, "n" * 50), (None, "n" * 50), (None, None), (7, "x" * 100), (8, "other")] + [(9, "y" * k) for k in range(40)])
+    for old in (F.lit(0), F.when(F.col("doc_id") == 9, F.pmod(F.length("text"), F.lit(2))).otherwise(F.lit(0))):
+        moves = r.reshard(docs, old, 5)
+        changed = r.rewrite(docs, moves, str(tmp_path / "out"), old_shard=old)
+        back = docs.sparkSession.read.parquet(str(tmp_path / "out"))
+        of = lambda rows: sorted((repr(x.doc_id), x.size, x.shard) for x in rows.collect())
+        size = (F.coalesce(F.octet_length("text"), F.lit(0)) + r.ROW_BYTES).alias("size")
+        assert of(back.select("doc_id", size, "shard")) == of(moves.where(F.col("shard").isin(changed))) and back.count() == docs.count()
+    if moves.where("doc_id = 9").select("shard").distinct().count() > 1:
+        with pytest.raises(ValueError):
+            r.rewrite(docs, moves, str(tmp_path / "part"))
+    whole = r.reshard(docs, F.lit(0), 5)
+    r.rewrite(docs, whole, str(tmp_path / "whole"))
+    assert docs.sparkSession.read.parquet(str(tmp_path / "whole")).count() == docs.count()
