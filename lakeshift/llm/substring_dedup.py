@@ -13,8 +13,9 @@ id. (3) The texts of these windows are read again, and each window gets one byte
 both sides. (4) Windows of one key are compared: two are linked if some ``span`` shingles around c have a Jaccard
 similarity of 0.8 at least (41 of 46 shared; words may be missing or new: places may shift by up to two). Links are a
 spanning forest for each key, breadth-first from each window that isn't reached: nothing is lost, and no group becomes
-all its pairs. In large groups only windows that share bytes far from the middle, shifted or not, are compared. Keys with more windows than a task should hold are compared in salted groups first, of which one window
-of each linked set goes on. (5) Links and exact copies give the documents' classes.
+all its pairs. In large groups only windows that share bytes far from the middle, shifted or not, are compared. Keys
+with more windows than a task should hold are dealt to salts, and each two salts are compared in a task, so that all
+windows of a key meet (agreement isn't transitive: no window can stand for those like it). (5) Links and exact copies give the documents' classes.
 
 A shingle that occurred in the ``span`` positions before it takes no part in the minima, so that text that repeats a
 word or phrase makes no window at each place.
@@ -241,12 +242,9 @@ def agreeing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return ok, ends[0], ends[1]
 
 
-def near_in(around: np.ndarray, rows: np.ndarray, reached: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Links among rows, some of which are linked with each other already, that connect all that agree; and roots.
-
-    reached: flags by row; rows that come to be linked with such are flagged, too. Roots: a row of each other set.
-    """
-    pairs, roots = [], []
+def near_in(around: np.ndarray, rows: np.ndarray, reached: np.ndarray) -> list[np.ndarray]:
+    """Links among rows, some of which (reached, flags by row) are linked with each other already, that connect all that agree."""
+    pairs = []
     front, open_ = rows[reached[rows]], rows[~reached[rows]]
 
     def link(one: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -268,13 +266,11 @@ def near_in(around: np.ndarray, rows: np.ndarray, reached: np.ndarray) -> tuple[
     open_ = np.array([o for o in open_.tolist() if o not in found], "i8")
     while len(open_):
         if not stack:
-            roots.append(int(open_[0]))
             stack, open_ = [int(open_[0])], open_[1:]
         ok = link(np.int64(stack.pop()), open_)
         stack += open_[ok].tolist()
         open_ = open_[~ok]
-    reached[rows] = True
-    return pairs, np.array(roots, "i8")
+    return pairs
 
 
 def far_groups(around: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
@@ -345,10 +341,7 @@ def shifted_links(around: np.ndarray, rows: np.ndarray, known: list[np.ndarray])
 
 
 def linked(table: pa.Table) -> pa.Table:
-    """Links (doc_a, start_a, end_a, doc_b, start_b, end_b) in words that connect, for each key, all that agree; ends are beyond.
-
-    Rows of doc_b null tell of one window for each linked set (its key and bytes), for the next level.
-    """
+    """Links (doc_a, start_a, end_a, doc_b, start_b, end_b) in words that connect, for each key, all that agree; ends are beyond."""
     table = table.sort_by([("key", "ascending"), ("doc_id", "ascending"), ("at", "ascending")])
     key, doc, at = (table[c].to_numpy() for c in ("key", "doc_id", "at"))
     around = np.frombuffer(b"".join(table["around"].to_pylist()), "u1").reshape(len(key), 2 * SPAN - 1)
@@ -363,38 +356,28 @@ def linked(table: pa.Table) -> pa.Table:
         ok, lo, hi = agreeing(around[leader[some]], around[some])
         pairs.append(np.column_stack([leader[some], some, lo, hi])[ok])
         reached[some[ok]] = True
-    roots = [first]
     left = leader[~reached]
     for g, n in zip(*np.unique(left, return_counts=True), strict=True):  # keys whose windows aren't all like the first
         own = np.arange(g, g + sizes[first.searchsorted(g)])
         if n <= MANY:
-            found, more = near_in(around, own, reached)
-            pairs += found
+            pairs += near_in(around, own, reached)
         else:
-            more = own[~reached[own]]
             known = [np.column_stack([np.full(len(own), g), own])[reached[own]]]
             for group in far_groups(around, own):
                 if not reached[group].all():
-                    was = reached[group]  # each group tells by itself what belongs together
-                    known += near_in(around, np.sort(group), reached)[0]
-                    reached[group] = was
+                    known += near_in(around, np.sort(group), reached)
             pairs += known[1:]
             pairs += shifted_links(around, own, known)
-        roots.append(more)
     p = np.concatenate(pairs) if pairs else np.zeros((0, 4), "i8")
     p = p[doc[p[:, 0]] != doc[p[:, 1]]]
     a, b, lo, hi = p.T
-    r = np.unique(np.concatenate(roots))
-    none = lambda n: pa.nulls(n, pa.int64())
     start = lambda x: at[x] - (SPAN - 1) + lo
     end = lambda x: at[x] - (SPAN - 1) + hi + SHINGLE
-    known = {"key": (None, key[r]), "doc_a": (doc[a], doc[r]), "start_a": (start(a), at[r]), "end_a": (end(a), None), "doc_b": (doc[b], None), "start_b": (start(b), None), "end_b": (end(b), None)}
-    columns = {name: pa.concat_arrays([none(len(a)) if x is None else pa.array(x, pa.int64()), none(len(r)) if y is None else pa.array(y, pa.int64())]) for name, (x, y) in known.items()}
-    columns["around"] = pa.array([None] * len(a) + [around[k].tobytes() for k in r.tolist()], pa.binary())
-    return pa.table(columns)
+    columns = {"doc_a": doc[a], "start_a": start(a), "end_a": end(a), "doc_b": doc[b], "start_b": start(b), "end_b": end(b)}
+    return pa.table({name: pa.array(x, pa.int64()) for name, x in columns.items()})
 
 
-LINKED = "key long, doc_a long, start_a long, end_a long, doc_b long, start_b long, end_b long, around binary"
+LINKED = "doc_a long, start_a long, end_a long, doc_b long, start_b long, end_b long"
 
 
 def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit_bytes: int = UNIT_BYTES, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, held: int = HELD) -> tuple[DataFrame, DataFrame]:
@@ -411,15 +394,13 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", un
     texts = rows.where(F.octet_length("text") > LEAST_WORDS).withColumn("block", block("doc_id")).repartition(shuffle_partitions(spark), "block")
     windows = texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(surroundings, "key long, doc_id long, at long, n long, around binary")
     groups = max(1, -(-wanted.count() // held))
+    # keys of too many windows: a window goes to a task for each pair of its salt and another
     salts = F.ceil(F.col("n") / held)
-    dealt = windows.withColumn("salt", F.when(F.col("n") > held, F.pmod(F.xxhash64("doc_id", "at"), salts)).otherwise(F.lit(-1))).withColumn("group", F.pmod(F.xxhash64("key", "salt"), F.lit(groups)))
-    # keys of several salts in one group are one group there, which is as well
-    found = checkpointed(dealt.groupBy("group").applyInArrow(linked, LINKED))
-    links = found.where("doc_b IS NOT NULL").drop("key", "around")
-    split = wanted.where(F.col("n") > held).select("key").distinct()
-    if not split.isEmpty():
-        again = found.where("doc_b IS NULL").join(split, "key", "left_semi").select("key", F.col("doc_a").alias("doc_id"), F.col("start_a").alias("at"), F.lit(0).cast("long").alias("n"), "around")
-        links = links.unionByName(again.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups))).groupBy("group").applyInArrow(linked, LINKED).where("doc_b IS NOT NULL").drop("key", "around"))
+    own = F.pmod(F.xxhash64("doc_id", "at"), salts)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), salts - 1), lambda k: k != own)
+    dealt = windows.withColumn("pair", F.explode(F.when(F.col("n") > held, F.transform(others, lambda k: F.least(k, own) * salts + F.greatest(k, own))).otherwise(F.array(F.lit(-1).cast("long")))))
+    dealt = dealt.withColumn("group", F.when(F.col("n") > held, F.xxhash64("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(groups))))
+    links = dealt.groupBy("group", "pair").applyInArrow(linked, LINKED)
     return links, info
 
 

@@ -97,8 +97,7 @@ def windows_of(rows):
 def link_sets(rows):
     up = list(range(len(rows)))
     for a, b in zip(*(s.linked(windows_of(rows))[c].to_pylist() for c in ("doc_a", "doc_b")), strict=True):
-        if b is not None:
-            up = [up[a] if k == up[b] else k for k in up]
+        up = [up[a] if k == up[b] else k for k in up]
     return {frozenset(k for k in range(len(rows)) if up[k] == c) for c in up}
 
 
@@ -120,6 +119,28 @@ def test_shifted_copies_meet_in_large_groups(seed, shift, side):
     assert frozenset((1, 2)) in many and len(many) == len(others) + 1
 
 
+def test_families_of_split_groups_meet(docs_of):
+    rng = random.Random(8)
+    keys = lambda w: {int(h[p]) for h in [s.shingle_hashes(" ".join(w))[0]] for p in s.window_places(h).tolist()}
+    # a line whose middle shingles have the least hashes by all functions, and sides that don't have less
+    long = words(rng, 200_000)
+    h, _ = s.shingle_hashes(" ".join(long))
+    low = np.ones(len(h) - 2, bool)
+    for k in range(s.FUNCTIONS):
+        y = (h ^ np.uint64(0x632BE59BD9B4E019 * (k + 1) & (2**64 - 1))) * s.M2
+        y ^= y >> np.uint64(31)
+        low &= s.sliding_least(y * s.M1, 3) < np.uint64(2**64 // 40)
+    at = int(np.flatnonzero(low[10:])[0]) + 10
+    line = long[at - 3 : at + 10]
+    own = set(s.shingle_hashes(" ".join(line))[0].tolist())
+    shared = lambda left, right: keys((left or words(rng, 44)) + line + (right or words(rng, 44))) & keys((left or words(rng, 44)) + line + (right or words(rng, 44)))
+    left = next(w for w in (words(rng, 40) for _ in range(2000)) if shared(w, None) and shared(w, None) <= own)
+    rights = [next(w for w in (words(rng, 40) for _ in range(2000)) if shared(None, w) and shared(None, w) <= own) for _ in range(8)]
+    docs = {k: left + line + words(rng, 44) for k in range(40)} | {40 + k: words(rng, 44) + line + w for k, w in enumerate(rights)} | {50 + k: left + line + w for k, w in enumerate(rights)}
+    rows = s.repeated_passages(docs_of([(d, " ".join(w)) for d, w in docs.items()]), held=7).collect()
+    assert {r.class_id for r in rows} == {0}
+
+
 def test_odd_rows(odd_docs, docs_of):
     rows = s.repeated_passages(odd_docs).collect()
     assert len(rows) == odd_docs.count()
