@@ -4,25 +4,32 @@ Texts become templates: tokens with a digit are <n>, words after a number from a
 inside a sentence (not those all in capitals) <p>; the rest is lower-cased and loses punctuation. Windows of ``window`` tokens of benchmark items
 with enough literal tokens are hash-joined with all windows of all documents. A document and an item whose shared
 windows cover ``min_windows`` different windows of the item (or all, if it has fewer) are a match if the slots are
-consistent: under the matched windows, one value in the item always stands for one value in the document. So an item
+consistent: under the matched windows, one value in the item always stands for one value in the document, or in one
+occurrence with enough windows, as a document may hold an item twice with different values. So an item
 with other numbers, names or units is found, and text that only looks alike is not.
 
+Verbatim copies don't depend on templates: windows of the lower-cased tokens themselves are joined as well, so that
+items of many numbers or names, and names in other case or place, are found. The first token of an item is compared as
+it stands and as a name. An item with fewer tokens than a window is one window as a whole, and matches wherever it
+stands; with fewer than ``least_tokens`` it has no template, only its literal window.
+
 Items of equal template are one class, under their least id. The benchmark's windows are broadcast only if a count
-shows that they are few; beyond ``broadcast_rows`` both sides are shuffled. Items with fewer tokens than a window are
-one window as a whole, compared with documents' windows of that length.
+shows that they are few; beyond ``broadcast_rows`` both sides are shuffled.
 
 Nulls and empty texts have no windows and match nothing. Repeated rows give one match; a null id is kept.
-Benchmark items with fewer than ``least_tokens`` tokens are too common to tell and are left out.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lakeshift.llm.common import checkpointed, documents, spread
 
 WINDOW, MIN_WINDOWS, LEAST_TOKENS, LITERALS, BROADCAST_ROWS = 8, 6, 6, 5, 200_000
+#: Words that an occurrence may have more or less between two hits.
+GAP = 3
 UNITS = "mm|cm|m|km|in|inch|inches|ft|feet|foot|yd|yards?|miles?|mg|g|kg|lb|lbs|pounds?|oz|ounces?|tons?|ml|l|liters?|litres?|gallons?|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|months?|years?|mph|kmh|percent|dollars?|cents?|euros?|usd|eur|degrees?"
 SPACE = r"[\x20\x09-\x0D]"
 MARK = "⟨"  # opens a placeholder; texts lose theirs
@@ -41,6 +48,12 @@ def template(text: Column, values: bool = False) -> Column:
     return F.btrim(F.regexp_replace(x, f"{SPACE}+", " "), F.lit(" "))
 
 
+def literal(text: Column) -> Column:
+    """The text's tokens without templates, as one string."""
+    x = F.regexp_replace(F.lower(F.replace(text, F.lit(MARK), F.lit(""))), r"[.,;:!?\"()\[\]|]+", "")
+    return F.btrim(F.regexp_replace(x, f"{SPACE}+", " "), F.lit(" "))
+
+
 def tokens(x: Column) -> Column:
     return F.when(F.octet_length(x) > 0, F.split(x, " ")).otherwise(F.array().cast("array<string>"))
 
@@ -57,18 +70,34 @@ def _placed(length: int):
 
 
 def item_windows(bench: DataFrame, window: int, least: int, literals: int) -> DataFrame:
-    """(item, len, at, w, slots, n_windows, tagged): windows of each class of items."""
-    x = bench.select("item_id", "text").where(F.col("text").isNotNull()).withColumn("template", template(F.col("text"))).groupBy("template").agg(F.min_by(F.struct("item_id", "text"), F.struct(F.col("item_id").isNull(), "item_id", "text")).alias("i"), F.count("*").alias("n_items"))
-    x = x.select(F.col("i.item_id").alias("item"), F.col("i.text").alias("text"), "n_items", tokens(F.col("template")).alias("t")).where(F.size("t") >= least)
-    x = x.withColumn("len", F.least(F.size("t"), F.lit(window)))
+    """(item, n_items, unit, len, at, w, c, slots, n_windows, tagged): windows of each class of items.
+
+    unit: 0 for templates, else a literal text of the class, whose lengths are negative. c: the window that w stands for.
+    """
+    all_ = bench.select("item_id", "text").where(F.col("text").isNotNull()).withColumn("template", template(F.col("text")))
+    all_ = checkpointed(all_)
+    x = all_.groupBy("template").agg(F.min_by(F.struct("item_id", "text"), F.struct(F.col("item_id").isNull(), "item_id", "text")).alias("i"), F.count("*").alias("n_items"))
+    x = x.select("template", F.col("i.item_id").alias("item"), F.col("i.text").alias("text"), "n_items", tokens(F.col("template")).alias("t"))
+    texts = all_.select("template", literal(F.col("text")).alias("literal")).distinct().join(x.select("template", "item", "n_items"), "template").withColumn("t", tokens(F.col("literal"))).where(F.size("t") > 0)
+    texts = texts.withColumn("len", F.least(F.size("t"), F.lit(window))).withColumn("unit", F.xxhash64("literal").bitwiseOR(F.lit(1).cast("long"))).withColumn("hs", windows(F.transform("t", lambda t: F.xxhash64(t)), F.col("len")))
+    texts = texts.select("item", "n_items", "unit", (-F.col("len")).alias("len"), F.posexplode("hs").alias("at", "w"))
+    texts = texts.withColumn("c", F.col("w")).withColumn("slots", F.lit(0)).withColumn("tagged", F.lit(None).cast("array<string>"))
+    x = x.where(F.size("t") >= least).withColumn("len", F.least(F.size("t"), F.lit(window)))
     marks = F.transform("t", lambda t: t.startswith(MARK).cast("int"))
-    x = x.withColumn("hs", windows(F.transform("t", lambda t: F.xxhash64(t)), F.col("len"))).withColumn("marks", marks)
+    hs = lambda t: windows(F.transform(t, lambda t: F.xxhash64(t)), F.col("len"))
+    x = x.withColumn("hs", hs("t")).withColumn("marks", marks)
+    # inside a line, the first word may look like a name
+    inside = tokens(template(F.concat(F.lit("a "), F.regexp_replace("text", f"^{SPACE}+", ""))))
+    x = x.withColumn("other", F.get(hs(F.slice(inside, 2, F.greatest(F.size(inside), F.lit(1)))), F.lit(0)))
     x = x.withColumn("tagged", tokens(template(F.col("text"), True)))
-    e = x.select("item", "n_items", "len", "marks", "tagged", F.posexplode("hs").alias("at", "w"))
+    e = x.select("item", "n_items", F.lit(0).cast("long").alias("unit"), "len", "marks", "tagged", "other", F.posexplode("hs").alias("at", "c"))
     slots = F.aggregate(F.slice("marks", F.col("at") + 1, F.col("len")), F.lit(0), lambda a, m: a + m)
     e = e.withColumn("slots", slots).where(F.col("len") - F.col("slots") >= F.least(F.lit(literals), F.col("len") - 1))
-    per = e.groupBy("item").agg(F.countDistinct("w").alias("n_windows"))
-    return e.join(per, "item").select("item", "n_items", "len", "at", "w", "slots", "n_windows", "tagged")
+    both = F.array("c")
+    columns = ["item", "n_items", "unit", "len", "at", "w", "c", "slots", "tagged"]
+    e = e.withColumn("w", F.explode(both)).select(*columns).unionByName(texts.select(*columns))
+    per = e.groupBy("item", "unit").agg(F.countDistinct("c").alias("n_windows"))
+    return e.join(per, ["item", "unit"])
 
 
 def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, min_windows: int = MIN_WINDOWS, least_tokens: int = LEAST_TOKENS, literals: int = LITERALS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -76,27 +105,26 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
     rk = F.xxhash64(F.col(id_col).isNull(), F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.col(id_col).alias("id"), rk.alias("rk"), F.col(text_col).alias("text"))
     items = checkpointed(item_windows(bench, window, least_tokens, literals))
-    index = items.select("item", "len", "at", "w", "slots")
-    lengths = [r[0] for r in items.select("len").distinct().collect()]  # at most `window` lengths
+    index = items.select("item", "unit", "len", "at", "w", "c", "slots")
+    lengths = [r[0] for r in items.select("len").distinct().collect()]  # at most `window` lengths of either kind
     if items.count() <= broadcast_rows:
         index = F.broadcast(index)
-    hashed = rows.where(F.octet_length("text") > 0).select("id", "rk", F.transform(tokens(template(F.col("text"))), lambda t: F.xxhash64(t)).alias("hs"))
-    if len(lengths) <= 1:
-        k = lengths[0] if lengths else window
-        found = hashed.select("id", "rk", F.lit(k).alias("len"), F.posexplode(windows(F.col("hs"), k)).alias("pos", "w"))
-    else:  # windows of all lengths in one pass
-        of_all = [F.transform(windows(F.col("hs"), k), _placed(k)) for k in lengths]
-        found = hashed.select("id", "rk", F.inline(F.concat(*of_all)))
-    hits = found.join(index, ["len", "w"]).select("id", "rk", "item", "len", "at", "pos", "slots", "w")
-    per = hits.groupBy("id", "rk", "item").agg(F.countDistinct("w").alias("n_windows"), F.min("pos").alias("first_token"), F.max("slots").alias("most_slots"))
-    of_item = items.groupBy("item").agg(F.first("n_windows").alias("item_windows"), F.first("n_items").alias("n_items"))
+    hashes = lambda x: F.transform(tokens(x), lambda t: F.xxhash64(t))
+    hashed = rows.where(F.octet_length("text") > 0).select("id", "rk", hashes(template(F.col("text"))).alias("hs"), hashes(literal(F.col("text"))).alias("ls"))
+    of_all = [F.transform(windows(F.col("hs" if k > 0 else "ls"), abs(k)), _placed(k)) for k in lengths or [window]]
+    found = hashed.select("id", "rk", F.inline(F.concat(*of_all)))  # windows of all lengths in one pass
+    hits = found.join(index, ["len", "w"]).select("id", "rk", "item", "unit", "len", "at", "pos", "slots", "c")
+    per = hits.groupBy("id", "rk", "item", "unit").agg(F.countDistinct("c").alias("n_windows"), F.min("pos").alias("first_token"), F.max("slots").alias("most_slots"))
+    of_item = items.groupBy("item", "unit").agg(F.first("n_windows").alias("item_windows"), F.first("n_items").alias("n_items"))
     of_item = F.broadcast(of_item) if items.count() <= broadcast_rows else of_item
-    per = checkpointed(per.join(of_item, "item").where(F.col("n_windows") >= F.least(F.lit(min_windows), F.col("item_windows"))))
+    per = checkpointed(per.join(of_item, ["item", "unit"]).where(F.col("n_windows") >= F.least(F.lit(min_windows), F.col("item_windows"))))
     plain = per.where(F.col("most_slots") == 0).withColumn("n_slots", F.lit(0)).withColumn("n_conflicts", F.lit(0))
     slotted = per.where(F.col("most_slots") > 0)
     if not slotted.isEmpty():
-        plain = plain.unionByName(consistent(rows, slotted, hits, items))
-    return plain.select("id", "rk", F.col("item").alias("item_id"), "n_items", "n_windows", "item_windows", "first_token", "n_slots", "n_conflicts")
+        plain = plain.unionByName(consistent(rows, slotted, hits, items, min_windows))
+    told = ["n_items", "n_windows", "item_windows", "first_token", "n_slots", "n_conflicts"]
+    one = plain.groupBy("id", "rk", "item").agg(F.min_by(F.struct(*told), F.struct(F.col("unit") != 0, "unit")).alias("one"))  # by its template if it can
+    return one.select("id", "rk", F.col("item").alias("item_id"), *(F.col(f"one.{c}").alias(c) for c in told))
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
@@ -107,21 +135,28 @@ def decontaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", te
     return rows.join(found, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_rk")), "left_anti").drop("_row")
 
 
-def consistent(rows: DataFrame, slotted: DataFrame, hits: DataFrame, items: DataFrame) -> DataFrame:
-    """Of the matches with placeholders, those whose slots have one value in the document for each in the item."""
+def consistent(rows: DataFrame, slotted: DataFrame, hits: DataFrame, items: DataFrame, min_windows: int) -> DataFrame:
+    """Of the matches with placeholders, those whose slots have one value for each in the item, in the whole document or in one occurrence."""
     same = lambda a, b: F.col(f"{a}.id").eqNullSafe(F.col(f"{b}.id")) & (F.col(f"{a}.rk") == F.col(f"{b}.rk"))
     wanted = slotted.select("id", "rk").distinct()
     texts = rows.alias("r").join(wanted.alias("w").hint("shuffle_hash"), same("r", "w"), "left_semi").dropDuplicates(["id", "rk"]).select("id", "rk", tokens(template(F.col("text"), True)).alias("t"))
-    at = hits.where("slots > 0").alias("h").join(slotted.alias("s"), same("h", "s") & (F.col("h.item") == F.col("s.item"))).groupBy("h.id", "h.rk", "h.item").agg(F.collect_set(F.struct("h.at", "h.pos", "h.len")).alias("at"))
-    tagged = items.groupBy("item").agg(F.first("tagged").alias("tagged"))
-    x = at.alias("a").join(texts.alias("x"), same("a", "x")).select("a.id", "a.rk", "a.item", "a.at", "x.t").join(tagged, "item")
+    own = ["id", "rk", "item"]
+    x = hits.where("unit = 0").alias("h").join(slotted.alias("s"), same("h", "s") & (F.col("h.item") == F.col("s.item"))).select("h.id", "h.rk", "h.item", "h.at", "h.pos", "h.len", "h.c", "h.slots", F.least(F.lit(min_windows), "s.item_windows").alias("need"), (F.col("h.pos") - F.col("h.at")).alias("shift"))
+    # hits of one occurrence lie at one distance, or at some that hardly differ where words are missing or new
+    new = F.coalesce(F.col("shift") - F.lag("shift").over(Window.partitionBy(*own).orderBy("shift")) > GAP, F.lit(True))
+    x = x.withColumn("run", F.sum(new.cast("int")).over(Window.partitionBy(*own).orderBy("shift")))
+    of = lambda kind, place: F.struct(F.lit(kind).alias("kind"), place.cast("long").alias("place"))
+    x = x.withColumn("of", F.explode(F.array(of(0, F.lit(0)))))
+    at = x.groupBy(*own, "of").agg(F.collect_set(F.when(F.col("slots") > 0, F.struct("at", "pos", "len"))).alias("at"), F.countDistinct("c").alias("n"), F.first("need").alias("need")).where((F.col("of.kind") == 0) | (F.col("n") >= F.col("need")))
+    tagged = items.where("unit = 0").groupBy("item").agg(F.first("tagged").alias("tagged"))
+    x = at.alias("a").join(texts.alias("x"), same("a", "x")).select("a.id", "a.rk", "a.item", "a.of", "a.at", "x.t").join(tagged, "item")
     pairs = F.array_distinct(F.flatten(F.transform("at", lambda m: F.filter(
         F.transform(F.sequence(F.lit(0), m["len"] - 1), lambda k: F.struct(F.get("tagged", m["at"] + k).alias("i"), F.get("t", m["pos"] + k).alias("d"))),
         lambda p: p["i"].startswith(MARK)))))
-    x = x.select("id", "rk", "item", pairs.alias("p"))
+    x = x.select(*own, "of", pairs.alias("p"))
     x = x.withColumn("n_slots", F.size(F.array_distinct(F.transform("p", lambda p: p["i"])))).withColumn("n_conflicts", F.size("p") - F.col("n_slots"))
-    found = slotted.alias("s").join(x.alias("x"), same("s", "x") & (F.col("s.item") == F.col("x.item"))).select("s.*", "x.n_slots", "x.n_conflicts")
-    return found.where(F.col("n_conflicts") * 4 <= F.col("n_slots"))
+    x = x.where(F.col("n_conflicts") * 4 <= F.col("n_slots")).groupBy(*own).agg(F.min_by(F.struct("n_slots", "n_conflicts"), "of").alias("best"))
+    return slotted.alias("s").join(x.alias("x"), same("s", "x") & (F.col("s.item") == F.col("x.item"))).select("s.*", "x.best.n_slots", "x.best.n_conflicts")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

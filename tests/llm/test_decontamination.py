@@ -84,3 +84,9 @@ def test_odd_rows(spark, odd_docs, docs_of):
 def test_no_python_in_the_plan(spark, sf):
     plan = d.op9_decontaminate(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_items_without_template_windows(spark, docs_of):
+    items = ["12 + 13 = 25 and 14 + 15 = 29", "Paris is big", "Ann Bob Carl Dora Emil Fay Gus Hal Ida Jon"]
+    docs = docs_of([(1, f"so {items[0]} it is"), (2, "he said paris is big today"), (3, "the list: " + items[2] + " end"), (4, "12 + 13 = 26 and 14 + 15 = 29"), (5, "paris is a big town")])
+    assert found(docs, bench(spark, *items)) == {(1, 0), (2, 1), (3, 2)}
