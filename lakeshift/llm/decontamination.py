@@ -146,7 +146,7 @@ def consistent(rows: DataFrame, slotted: DataFrame, hits: DataFrame, items: Data
     new = F.coalesce(F.col("shift") - F.lag("shift").over(Window.partitionBy(*own).orderBy("shift")) > GAP, F.lit(True))
     x = x.withColumn("run", F.sum(new.cast("int")).over(Window.partitionBy(*own).orderBy("shift")))
     of = lambda kind, place: F.struct(F.lit(kind).alias("kind"), place.cast("long").alias("place"))
-    x = x.withColumn("of", F.explode(F.array(of(0, F.lit(0)))))
+    x = x.withColumn("of", F.explode(F.array(of(0, F.lit(0)), of(1, F.col("run")), of(2, F.col("shift")))))
     at = x.groupBy(*own, "of").agg(F.collect_set(F.when(F.col("slots") > 0, F.struct("at", "pos", "len"))).alias("at"), F.countDistinct("c").alias("n"), F.first("need").alias("need")).where((F.col("of.kind") == 0) | (F.col("n") >= F.col("need")))
     tagged = items.where("unit = 0").groupBy("item").agg(F.first("tagged").alias("tagged"))
     x = at.alias("a").join(texts.alias("x"), same("a", "x")).select("a.id", "a.rk", "a.item", "a.of", "a.at", "x.t").join(tagged, "item")

@@ -86,6 +86,16 @@ def test_no_python_in_the_plan(spark, sf):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_one_consistent_occurrence_is_enough(spark, docs_of):
+    item = "there are 7 red balls and 8 blue balls in a box so we take 9 balls out of the box now"
+    other, third = (item.replace("7", a).replace("8", b).replace("9", c) for a, b, c in (("31", "32", "33"), ("41", "42", "43")))
+    torn = "there are 1 red balls and 2 blue balls in a box so we take 3 balls out of the box now"
+    docs = docs_of([(1, f"{item} and then {other}"), (2, f"{other} as well as {third}"), (3, torn)])
+    assert found(docs, bench(spark, item)) >= {(1, 0), (2, 0)}
+    same = item.replace("8", "7").replace("9", "7")
+    assert found(docs_of([(3, torn), (4, f"{torn} {torn}")]), bench(spark, same)) == set()
+
+
 def test_items_without_template_windows(spark, docs_of):
     items = ["12 + 13 = 25 and 14 + 15 = 29", "Paris is big", "Ann Bob Carl Dora Emil Fay Gus Hal Ida Jon"]
     docs = docs_of([(1, f"so {items[0]} it is"), (2, "he said paris is big today"), (3, "the list: " + items[2] + " end"), (4, "12 + 13 = 26 and 14 + 15 = 29"), (5, "paris is a big town")])
