@@ -38,7 +38,7 @@ MARK = "⟨"  # opens a placeholder; texts lose theirs
 def template(text: Column, values: bool = False) -> Column:
     """The text's template as one string; with values, each placeholder is followed by what it stands for."""
     kept = "$0" if values else ""
-    x = F.when(text.contains(MARK), F.replace(text, F.lit(MARK), F.lit(""))).otherwise(text)
+    x = F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("")), rf"[\x09-\x0D]{SPACE}*|\x20{SPACE}+", " ")
     numbers = F.regexp_replace(x, r"(?<!\S)\S*[0-9]\p{L}*", f"{MARK}n⟩{kept}")
     numbers = F.regexp_replace(numbers, rf"(?<=[0-9⟩\p{{L}}]{SPACE})(?<={MARK}n⟩\S{{0,40}}{SPACE})(?i:{UNITS})(?!\p{{L}})", f"{MARK}u⟩{kept}")
     x = F.when(x.rlike("[0-9]"), numbers).otherwise(x)
@@ -93,7 +93,7 @@ def item_windows(bench: DataFrame, window: int, least: int, literals: int) -> Da
     e = x.select("item", "n_items", F.lit(0).cast("long").alias("unit"), "len", "marks", "tagged", "other", F.posexplode("hs").alias("at", "c"))
     slots = F.aggregate(F.slice("marks", F.col("at") + 1, F.col("len")), F.lit(0), lambda a, m: a + m)
     e = e.withColumn("slots", slots).where(F.col("len") - F.col("slots") >= F.least(F.lit(literals), F.col("len") - 1))
-    both = F.array("c")
+    both = F.when((F.col("at") == 0) & F.col("other").isNotNull(), F.array_distinct(F.array("c", "other"))).otherwise(F.array("c"))
     columns = ["item", "n_items", "unit", "len", "at", "w", "c", "slots", "tagged"]
     e = e.withColumn("w", F.explode(both)).select(*columns).unionByName(texts.select(*columns))
     per = e.groupBy("item", "unit").agg(F.countDistinct("c").alias("n_windows"))

@@ -100,3 +100,11 @@ def test_items_without_template_windows(spark, docs_of):
     items = ["12 + 13 = 25 and 14 + 15 = 29", "Paris is big", "Ann Bob Carl Dora Emil Fay Gus Hal Ida Jon"]
     docs = docs_of([(1, f"so {items[0]} it is"), (2, "he said paris is big today"), (3, "the list: " + items[2] + " end"), (4, "12 + 13 = 26 and 14 + 15 = 29"), (5, "paris is a big town")])
     assert found(docs, bench(spark, *items)) == {(1, 0), (2, 1), (3, 2)}
+
+
+def test_case_and_place_of_items(spark, docs_of):
+    short, long = "What is the sum of all these numbers", "Today Alice Brown went to see Robert Green in the old town near Mary Field for 3 days"
+    docs = docs_of([(1, "read this - What is the sum of all these numbers"), (2, "ask, What is the sum of all these numbers"), (3, "x " + long.lower()), (4, "x " + long.replace(" ", "\n")), (5, "x " + long.replace(" ", "  "))])
+    assert found(docs, bench(spark, short, long)) == {(1, 0), (2, 0), (3, 1), (4, 1), (5, 1)}
+    numbered = "What do 5 apples and some pears cost in total"
+    assert found(docs_of([(1, "read this - What do 6 apples and some pears cost in total")]), bench(spark, numbered)) == {(1, 0)}
