@@ -32,10 +32,13 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; one of this machine only where none is set, as in tests."""
+    """The cluster's checkpoint folder; one of this machine only where none is set and all runs here, as in tests."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
     return context.getCheckpointDir()
 
 
@@ -45,6 +48,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def row_place(df: DataFrame) -> Column | None:
+    """A hash of each row's file and its number there, the same whenever it is read; None if rows don't come straight from files."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput().mkString(",")
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index") if "_metadata#" in hidden else None
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z alone; lower() would change other letters too, but is right and much faster for ASCII texts."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

@@ -1,4 +1,7 @@
 import random
+from collections import defaultdict
+
+import regex
 
 from lakeshift.llm import decontamination as d
 
@@ -17,7 +20,7 @@ def test_templates(spark):
     from pyspark.sql import functions as F
 
     rows = [("He saw Mary run 5 km.", "he saw ⟨p⟩ run ⟨n⟩ ⟨u⟩"), ("A b. Cd e", "a b cd e"), ("3.5kg of X1, y", "⟨n⟩ of ⟨n⟩ y"), ("", ""), ("m km", "m km"), ("x 12 m\ny", "x ⟨n⟩ ⟨u⟩ y"), ("é ⟨n⟩", "é n⟩")]
-    got = spark.createDataFrame(rows, "x string, y string").select(d.template(F.col("x")).alias("t"), "y").collect()
+    got = spark.createDataFrame(rows, "x string, y string").select(F.array_join(d.template(F.col("x")), " ").alias("t"), "y").collect()
     assert [r.t for r in got] == [r.y for r in got]
 
 
@@ -108,3 +111,117 @@ def test_case_and_place_of_items(spark, docs_of):
     assert found(docs, bench(spark, short, long)) == {(1, 0), (2, 0), (3, 1), (4, 1), (5, 1)}
     numbered = "What do 5 apples and some pears cost in total"
     assert found(docs_of([(1, "read this - What do 6 apples and some pears cost in total")]), bench(spark, numbered)) == {(1, 0)}
+
+
+def canonical(text, values=False):
+    """The template's tokens in plain Python."""
+    kept = (lambda kind: lambda m: f"{d.MARK}{kind}⟩{m[0]}") if values else (lambda kind: lambda m: f"{d.MARK}{kind}⟩")
+    x = regex.sub(r"[\t-\r][ \t-\r]*| [ \t-\r]+", " ", text.replace(d.MARK, ""))
+    if regex.search("[0-9]", x):
+        x = regex.sub(r"(?<!\S)\S*[0-9]\p{L}*", kept("n"), x)
+        x = regex.sub(rf"(?<=[0-9⟩\p{{L}}] )(?<={d.MARK}n⟩\S{{0,40}} )(?i:{d.UNITS})(?!\p{{L}})", kept("u"), x)
+    x = regex.sub(r"\p{Lu}(?<=[^.!?:;\s] .)[\p{Ll}\p{M}'’-]+(?!\p{L})", kept("p"), x)
+    return regex.sub(r"[.,;:!?\"()\[\]|]+", "", x.lower()).split()
+
+
+def plain(text):
+    return regex.sub(r"[.,;:!?\"()\[\]|]+", "", text.replace(d.MARK, "").lower()).split()
+
+
+def cut(tokens, n):
+    return [tuple(tokens[k : k + n]) for k in range(len(tokens) - n + 1)] if n else []
+
+
+def whole_brute(docs, items):
+    """(doc, item) by templates, slots and literal windows, one after another."""
+    classes, out = {}, set()
+    kept = [(doc, canonical(t or ""), canonical(t or "", True), plain(t or "")) for doc, t in docs]
+    have, literal = defaultdict(lambda: defaultdict(list)), defaultdict(lambda: defaultdict(list))  # places of windows, by document
+    for k, (_, a, _, b) in enumerate(kept):
+        for n in range(1, d.WINDOW + 1):
+            for index, words in ((have, a), (literal, b)):
+                for p, w in enumerate(cut(words, n)):
+                    index[w][k].append(p)
+    for i, x in items:
+        classes.setdefault(tuple(canonical(x)), []).append((i, x))
+    for key, members in classes.items():
+        item, text = min(members)
+        n, tagged = min(len(key), d.WINDOW), canonical(text, True)
+        windows = [(k, w) for k, w in enumerate(cut(key, n)) if n - sum(t.startswith(d.MARK) for t in w) >= min(d.LITERALS, n - 1)] if len(key) >= d.LEAST_TOKENS else []
+        other = cut(canonical("a " + text.lstrip())[1:], n)[:1]
+        want = min(d.MIN_WINDOWS, len({w for _, w in windows}))
+        units = {tuple(plain(x)) for _, x in members}
+        some = {j for w in [*(w for _, w in windows), *other] for j in have.get(w, ())}
+        for j in some:
+            doc, _, values, _ = kept[j]
+            at = lambda w: have[w][j] if w in have and j in have[w] else []  # noqa: B023, E731
+            hits = [(k, p, w) for k, w in windows for p in {*at(w), *(at(other[0]) if k == 0 and other else [])}]
+            slots = lambda some: {(tagged[k + j], values[p + j]) for k, p, w in some for j in range(n) if tagged[k + j].startswith(d.MARK)}  # noqa: B023, E731
+            agree = lambda some: len(s := slots(some)) == len({a for a, _ in s})  # noqa: B023, E731
+            enough = lambda some: len({w for _, _, w in some}) >= want  # noqa: B023, E731
+            if want and enough(hits):
+                shifts, runs = sorted({p - k for k, p, _ in hits}), []
+                for s in shifts:
+                    if runs and s - runs[-1][-1] <= d.GAP:
+                        runs[-1].append(s)
+                    else:
+                        runs.append([s])
+                groups = [hits] + [g for r in [*runs, *([s] for s in shifts)] if enough(g := [h for h in hits if h[1] - h[0] in r])]
+                if any(map(agree, groups)):
+                    out.add((doc, item))
+        for u in units:
+            own = set(cut(u, min(len(u), d.WINDOW)))
+            counts = defaultdict(int)
+            for w in own:
+                for j in literal.get(w, ()):
+                    counts[j] += 1
+            out |= {(kept[j][0], item) for j, c in counts.items() if c >= min(d.MIN_WINDOWS, len(own))}
+    return out
+
+
+def test_against_brute_force_with_templates_and_slots(spark):
+    """All documents and items of a table, with items of numbers, names and units planted as they are, with other and with torn values."""
+    sf, rng = "/root/testdata/sf0.01", random.Random(6)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    low = [w.lower() for _, t in docs[:50] for w in (t or "").split() if w.isalpha()]
+    names = ["Anna", "Boris", "Chloe", "Dmitri", "Elena"]
+    for k in range(40):
+        words = [rng.choice(low) for _ in range(rng.randrange(7, 30))]
+        for at in rng.sample(range(len(words)), rng.randrange(1, min(7, len(words)))):
+            words[at] = rng.choice([rng.choice("123"), rng.choice(names[:2]), f"{rng.choice('45')} km"])
+        item = " ".join(words)
+        items.append((10_000 + k, item))
+        swap = {**dict(zip("12345", rng.sample(["31", "7", "88", "9.5", "60"], 5), strict=True)), "Anna": "Chloe", "Boris": "Elena", "km": "miles"}
+        same = " ".join(swap.get(w, w) for w in item.split())
+        torn = " ".join(str(rng.randrange(100, 999)) if w in "12345" else w for w in item.split())
+        near = " ".join(w for j, w in enumerate(same.split()) if j != 3)
+        around = lambda x: " ".join([*rng.choices(low, k=9), x, *rng.choices(low, k=9)])
+        docs += [(10**6 + 10 * k + j, around(x)) for j, x in enumerate([item, same, torn, near, f"{torn} {same}", item.upper()])]
+    got = found(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    want = whole_brute(docs, items)
+    assert got == want
+    some = [x for x in docs if x[0] % 3 == 0]
+    assert found(spark.createDataFrame(some, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), broadcast_rows=0) == {x for x in want if x[0] % 3 == 0}
+    assert len({x for x in want if x[0] >= 10**6}) > 120 and all((10**6 + 10 * k, 10_000 + k) in want for k in range(40))
+
+
+def test_no_conflict_is_tolerated(spark, docs_of):
+    item = "we take 7 red and 7 blue then 7 more of green and 7 of the white and 7 grey and 7 black balls"
+    torn = item
+    for v in "123456":
+        torn = torn.replace(" 7 ", f" {v} ", 1)
+    one_off = item.replace(" 7 ", " 4 ").replace(" 4 black", " 5 black")
+    assert found(docs_of([(1, torn), (2, item.replace("7", "4")), (3, one_off)]), bench(spark, item)) <= {(2, 0), (3, 0)}
+    assert (2, 0) in found(docs_of([(2, item.replace("7", "4"))]), bench(spark, item))
+
+
+def test_verbatim_items_of_any_kind(spark, docs_of):
+    items = ["compute 12 + 35 * 4 - 7 + 18 / 3 + 22 - 9", " ".join(map(str, range(12, 60, 11))) + " 33 44", "what is two", "?!"]
+    docs = docs_of([(k, f"some words before {x} and some after") for k, x in enumerate(items)])
+    assert found(docs, bench(spark, *items)) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_many_equal_rows(spark, docs_of):
+    docs = docs_of([(None, "x " + ITEM.replace("12", "40"))] * 300 + [(1, "clean")])
+    assert d.matches(docs, bench(spark, ITEM)).count() == 1 and d.decontaminated(docs, bench(spark, ITEM)).count() == 1
