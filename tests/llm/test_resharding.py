@@ -48,38 +48,80 @@ def test_equal_bytes(spark):
     assert set(sizes) == set(range(40)) and max(sizes.values()) - min(sizes.values()) < 0.01 * max(sizes.values())
 
 
+def rows_of(plan):
+    x = plan.placed()
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + r.ROW_BYTES).cast("long").alias("size")
+    return x.select("doc_id", "text", size, F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"), "_old_shard", "shard", "slot").collect()
+
+
 def test_odd_rows(odd_docs, docs_of):
     docs = [(x.doc_id, x.text) for x in odd_docs.collect()]
-    check(r.reshard(odd_docs, F.lit(0), 3).collect(), docs)
-    check(r.reshard(odd_docs, F.pmod(F.xxhash64("text"), F.lit(5)), 2, blocks=4).collect(), docs)
-    assert r.reshard(docs_of([]), F.lit(0), 3).count() == 0
+    check(rows_of(r.plan_transfers(odd_docs, F.lit(0), 3)), docs)
+    check(rows_of(r.plan_transfers(odd_docs, F.pmod(F.xxhash64("text"), F.lit(5)), 2, blocks=4)), docs)
+    assert r.plan_transfers(docs_of([]), F.lit(0), 3).placed().count() == 0
+
+
+def test_equal_ids_and_rows_are_spread(docs_of):
+    """Null ids, one id and wholly equal rows in turn make up nine tenths of the table."""
+    for hot in ([(None, "n" * (k % 90 + 100)) for k in range(3600)], [(5, "n" * (k % 90 + 100)) for k in range(3600)], [(None, "same text")] * 3600):
+        docs = [*hot, *((k + 10, "x" * (k % 70 + 80)) for k in range(400))]
+        sizes = check(rows_of(r.plan_transfers(docs_of(docs), F.lit(0), 8)), docs)
+        assert set(sizes) == set(range(8)) and max(sizes.values()) - min(sizes.values()) < 0.01 * max(sizes.values())
 
 
-def test_rewrites_affected_shards_alone(docs_of, tmp_path):
-    docs = docs_of([(k, "x" * 100) for k in range(90)])
-    old = F.pmod("doc_id", F.lit(3)).cast("int")
-    moves = r.reshard(docs, old, 3)
-    assert r.rewrite(docs, moves, str(tmp_path / "same")) == []
-    moves = r.reshard(docs, F.when(F.col("doc_id") < 60, 0).otherwise(F.pmod("doc_id", F.lit(2)) + 1).cast("int"), 3)
-    changed = r.rewrite(docs, moves, str(tmp_path / "new"))
-    back = docs.sparkSession.read.parquet(str(tmp_path / "new"))
-    assert 0 in changed and back.count() == moves.where(F.col("shard").isin(changed)).count()
+def test_files_give_places(spark, docs_of, tmp_path):
+    docs_of([(k % 7, "x" * (k % 50)) for k in range(500)]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    x, name = r.with_places(docs)
+    assert x.select(name).distinct().count() == 500
+    assert sorted(map(tuple, x.collect())) == sorted(map(tuple, r.with_places(docs)[0].collect()))
 
 
-def test_rewrites_nulls_and_repeated_ids(docs_of, tmp_path):
+def files(path):
+    return {str(f): f.read_bytes() for f in path.rglob("*.parquet")}
+
+
+def test_rewrites_affected_shards_alone(spark, docs_of, tmp_path):
+    """Shard 3 holds its share already: its files stay; the others' rows are a permutation, in gapless slots."""
     import pytest
 
-    docs = docs_of([(k, "x" * 100) for k in range(60)] + [(None, "n" * 50), (None, "n" * 50), (None, None), (7, "x" * 100), (8, "other")] + [(9, "y" * k) for k in range(40)])
-    for old in (F.lit(0), F.when(F.col("doc_id") == 9, F.pmod(F.length("text"), F.lit(2))).otherwise(F.lit(0))):
-        moves = r.reshard(docs, old, 5)
-        changed = r.rewrite(docs, moves, str(tmp_path / "out"), old_shard=old)
-        back = docs.sparkSession.read.parquet(str(tmp_path / "out"))
-        of = lambda rows: sorted((repr(x.doc_id), x.size, x.shard) for x in rows.collect())
-        size = (F.coalesce(F.octet_length("text"), F.lit(0)) + r.ROW_BYTES).alias("size")
-        assert of(back.select("doc_id", size, "shard")) == of(moves.where(F.col("shard").isin(changed))) and back.count() == docs.count()
-    if moves.where("doc_id = 9").select("shard").distinct().count() > 1:
-        with pytest.raises(ValueError):
-            r.rewrite(docs, moves, str(tmp_path / "part"))
-    whole = r.reshard(docs, F.lit(0), 5)
-    r.rewrite(docs, whole, str(tmp_path / "whole"))
-    assert docs.sparkSession.read.parquet(str(tmp_path / "whole")).count() == docs.count()
+    docs_of([(k, "x" * 100) for k in range(400)]).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    shard = F.when(F.col("doc_id") < 100, 3).when(F.col("doc_id") < 250, 0).otherwise(F.pmod("doc_id", F.lit(2)) + 1).cast("int")
+    docs.withColumn("shard", shard).repartition("shard").write.partitionBy("shard").parquet(str(tmp_path / "v0"))
+    before = files(tmp_path / "v0")
+    live = spark.read.parquet(str(tmp_path / "v0"))
+    plan = r.plan_transfers(live.drop("shard"), shard, 4)
+    changed = r.rewrite(plan, str(tmp_path / "v1"))
+    assert changed == [0, 1, 2] and files(tmp_path / "v0") == before
+    back = spark.read.parquet(str(tmp_path / "v1")).collect()
+    assert sorted(x.doc_id for x in back) == list(range(100, 400)) and not (tmp_path / "v1" / "shard=3").exists()
+    for k in changed:
+        assert sorted(x.slot for x in back if x.shard == k) == list(range(sum(x.shard == k for x in back)))
+    with pytest.raises(Exception, match="already exists|EXISTS"):
+        r.rewrite(plan, str(tmp_path / "v0"))
+    assert files(tmp_path / "v0") == before
+
+
+def test_rewrites_nulls_repeats_and_clashing_names(odd_docs, docs_of, tmp_path):
+    docs = odd_docs.withColumn("shard", F.lit("mine")).withColumn("slot", F.lit(1)).withColumn("_old", F.lit(2)).withColumn("_place", F.lit(3))
+    plan = r.plan_transfers(docs, F.pmod(F.xxhash64("text"), F.lit(3)), 5)
+    changed = r.rewrite(plan, str(tmp_path / "out"), file_bytes=50_000)
+    back = docs.sparkSession.read.parquet(str(tmp_path / "out"))
+    assert {"_shard", "_slot", *docs.columns} <= set(back.columns)
+    got = back.select(*docs.columns).unionByName(plan.placed().where(~F.col("_shard").isin(changed)).select(*docs.columns))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_query_moves_the_least_bytes(spark):
+    """With equal shards, what must leave is what old shards have beyond their capacity; whole rows are moved, so that a row a shard is let go."""
+    sf = "/root/testdata/sf0.01"
+    rows = r.op7_reshard(spark, sf).collect()
+    supply = [0] * r.OLD_SHARDS
+    for x in rows:
+        assert x.old_shard == zlib.crc32(str(x.doc_id).encode()) % r.OLD_SHARDS
+        supply[x.old_shard] += x.size
+    want = r.capacities(sum(supply), r.NEW_SHARDS)
+    least = sum(max(0, s - w) for s, w in zip(supply, want, strict=False))
+    moved = sum(x.size for x in rows if x.shard != x.old_shard)
+    assert least <= moved <= least + r.NEW_SHARDS * max(x.size for x in rows)
