@@ -91,12 +91,12 @@ def windows_of(rows):
     import pyarrow as pa
 
     n = len(rows)
-    return pa.table({"key": pa.array([7] * n, pa.int64()), "doc_id": pa.array(range(n), pa.int64()), "at": pa.array([100] * n, pa.int64()), "n": pa.array([n] * n, pa.int64()), "around": pa.array([r.astype("u1").tobytes() for r in rows], pa.binary())})
+    return pa.table({"key": pa.array([7] * n, pa.int64()), "text": pa.array(range(n), pa.int64()), "at": pa.array([100] * n, pa.int64()), "n": pa.array([n] * n, pa.int64()), "around": pa.array([r.astype("u1").tobytes() for r in rows], pa.binary()), "more": pa.array([None] * n, pa.binary())})
 
 
 def link_sets(rows):
     up = list(range(len(rows)))
-    for a, b in zip(*(s.linked(windows_of(rows))[c].to_pylist() for c in ("doc_a", "doc_b")), strict=True):
+    for a, b in zip(*(s.linked(windows_of(rows))[c].to_pylist() for c in ("text_a", "text_b")), strict=True):
         up = [up[a] if k == up[b] else k for k in up]
     return {frozenset(k for k in range(len(rows)) if up[k] == c) for c in up}
 
@@ -146,4 +146,68 @@ def test_odd_rows(odd_docs, docs_of):
     assert len(rows) == odd_docs.count()
     assert {r.class_id for r in rows if r.doc_id in (6, 7)} == {6} and all(r.class_id == r.doc_id for r in rows if r.doc_id not in (6, 7))
     assert s.repeated_passages(docs_of([])).count() == 0
-    assert s.repeated_passages(docs_of([(1, "x " * 500), (2, "x " * 700 + "y"), (3, None)])).count() == 3
+    rows = s.repeated_passages(docs_of([(1, "x " * 500), (2, "x " * 700 + "y"), (3, None)])).collect()
+    at = spans(rows)
+    assert at[1] == [(0, 500)] and at[2] in ([(0, 700)], [(0, 701)]) and at[3] == [] and {r.doc_id: r.class_id for r in rows} == {1: 1, 2: 1, 3: 3}
+
+
+def covered(rows, n=50):
+    """Words of each document in exact passages of n words that another text has."""
+    seen, out = defaultdict(set), defaultdict(set)
+    texts = [(d, (t or "").encode().lower().split(), t) for d, t in rows]
+    for _, w, t in texts:
+        for k in range(len(w) - n + 1):
+            seen[tuple(w[k : k + n])].add(t)
+    for d, w, _ in texts:
+        for k in range(len(w) - n + 1):
+            if len(seen[tuple(w[k : k + n])]) > 1:
+                out[d].update(range(k, k + n))
+    return out
+
+
+def test_all_words_of_exact_passages_are_covered(docs_of):
+    """Also where three texts share parts of each other, and where words and phrases repeat."""
+    rng = random.Random(11)
+    base, phrase = words(rng, 200), words(rng, 3)
+    texts = [base, words(rng, 20) + base[40:150] + words(rng, 20), words(rng, 9) + base[70:190], base[60:125] + words(rng, 60), words(rng, 30) + base[10:75]]
+    texts += [phrase * 30 + base[:70], words(rng, 5) + phrase * 40 + words(rng, 5), phrase * 25 + words(rng, 40)]
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    for more in ({}, {"held": 2}, {"local": 1}):
+        got = spans(s.repeated_passages(docs_of(rows), **more).collect())
+        for d, places in covered(rows).items():
+            assert places <= {p for a, b in got[d] for p in range(a, b)}
+
+
+def test_ways_of_windows_give_the_same(docs_of):
+    """Frequent keys sent by units, and packets in two steps, against the plain way."""
+    rng = random.Random(12)
+    line, p, q = words(rng, 55), words(rng, 60), words(rng, 70)
+    texts = [words(rng, 30) + line + words(rng, 30) for _ in range(60)] + [words(rng, 20) + p for _ in range(3)] + [q + words(rng, 9) for _ in range(2)] + [words(rng, 80) for _ in range(30)]
+    docs = docs_of([(k, " ".join(w)) for k, w in enumerate([*texts, texts[0], texts[70]])])
+    row = lambda r: (r.doc_id, r.class_id, r.n_copies, tuple(map(tuple, r.passages)))
+    plain = sorted(map(row, s.repeated_passages(docs).collect()))
+    assert {c for _, c, _, p in plain if p} == {0, 60, 63, 70}
+    for more in ({"local": 3}, {"local": 2, "unit_bytes": 3000, "bucket_bytes": 2000}, {"fan": 3, "unit_bytes": 5000, "bucket_bytes": 1000}):
+        got = sorted(map(row, s.repeated_passages(docs, **more).collect()))
+        assert [r[:3] for r in got] == [r[:3] for r in plain]
+        assert all(abs(a[0] - b[0]) <= 2 and abs(a[1] - b[1]) <= 2 for x, y in zip(got, plain, strict=True) for a, b in zip(x[3], y[3], strict=True))
+
+
+@given(st.integers(0, 2**32))
+@settings(max_examples=6, deadline=None)
+def test_group_sizes_on_both_sides_of_the_limit(seed):
+    """The same related windows among 20 to 3000 others are linked the same."""
+    rng = np.random.default_rng(seed)
+    width = 2 * s.SPAN - 1
+    kin = np.repeat(rng.integers(1, 256, (4, width)), 3, axis=0)
+    for r in kin:
+        r[rng.integers(0, width, 3)] = rng.integers(1, 256, 3)
+        if rng.random() < 0.5:
+            cut = s.SPAN + int(rng.integers(3, 30))
+            r[cut:] = np.roll(r, int(rng.choice([-1, 1])))[cut:]
+    related = None
+    for n in (20, s.MANY - 2, s.MANY + 2, 300, 3000):
+        rows = np.concatenate([rng.integers(1, 256, (1, width)), kin, rng.integers(1, 256, (n, width))])
+        got = {g for g in link_sets(rows) if len(g) > 1 and max(g) <= len(kin)}
+        related = got if related is None else related
+        assert got == related
