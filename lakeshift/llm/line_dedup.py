@@ -3,9 +3,10 @@
 Each document's lines are keyed, and long enough keys become rows (two hashes, document, position). The rows are
 dealt by ranges of the first hash: hashes are uniform, so that equal ranges need no sampling. Within a range they are
 sorted by hash, then by document (largest id first) and position, so the first document of each key is the one that
-keeps it, and a window function streams over the run. Keys in more documents than a limit (of which there are few: at
-most ``rows / limit``) never meet in one task: their document counts and largest ids are pre-aggregated, and a
-broadcast of these few rows decides for each line where it is.
+keeps it, and a window function streams over the run. Keys with more rows than a limit (of 1/4096 of all rows, and of
+``MOST_ROWS`` however many there are) never meet in one task: their document counts and largest ids are pre-aggregated,
+and a broadcast of these few rows decides for each line where it is; if a count shows more than ``MOST_HOT`` of them,
+they are joined, each in several copies, so that no key's lines meet in one task there either.
 
 What comes back is, for each document, a run-length coded bitmap of its lines instead of text.
 
@@ -24,8 +25,8 @@ from lakeshift.llm.common import ASCII_SPACE, ascii_lower, checkpointed, documen
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Ranges of the hash, as a power of two.
 RANGE_BITS = 13
-#: A key is hot if it has more than this share of all rows (so there are at most 4096 hot ones) and HOT_ROWS.
-HOT_SHARE, HOT_ROWS = 1 / 4096, 64
+#: A key is hot if it has more than this share of all rows (so there are at most 4096 hot ones) and HOT_ROWS, or MOST_ROWS.
+HOT_SHARE, HOT_ROWS, MOST_ROWS, MOST_HOT, COPIES = 1 / 4096, 64, 1_000_000, 500_000, 64
 
 
 def line_key(line: Column) -> Column:
@@ -41,20 +42,29 @@ def keyed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return keys.select("id", "rk", "pos", h1.alias("h1"), h2.alias("h2"))
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def with_hot(rows: DataFrame, hot: DataFrame, how: str, few: bool, copies: int = COPIES) -> DataFrame:
+    """rows joined with hot keys (h1, h2, ...): broadcast if they are few, else dealt to copies."""
+    if few:
+        return rows.join(F.broadcast(hot), ["h1", "h2"], how)
+    many = hot.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    return rows.withColumn("_copy", F.pmod(F.xxhash64("id", "rk", "pos"), F.lit(copies)).cast("int")).join(many, ["h1", "h2", "_copy"], how).drop("_copy")
+
+
+def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, most_rows: int = MOST_ROWS, most_hot: int = MOST_HOT) -> DataFrame:
     """(id, rk, dropped): the positions of each document's dropped lines, ascending; only documents with any."""
     spark = docs.sparkSession
     rows = checkpointed(keyed_lines(docs, min_chars))
-    limit = max(HOT_ROWS, int(rows.count() * HOT_SHARE))
-    heavy = rows.groupBy("h1", "h2").count().where(F.col("count") > limit).select("h1", "h2")
-    # at most 4096 rows, as there are no more keys with more than 1/4096 of the rows
+    limit = min(max(HOT_ROWS, int(rows.count() * HOT_SHARE)), most_rows)
+    heavy = checkpointed(rows.groupBy("h1", "h2").count().where(F.col("count") > limit).select("h1", "h2"))
+    few = heavy.count() <= most_hot  # always so up to 4096 * most_rows rows
     hot = checkpointed(
-        rows.join(F.broadcast(heavy), ["h1", "h2"])
+        with_hot(rows, heavy, "inner", few)
         .groupBy("h1", "h2", "id").agg(F.lit(1).alias("one"))
         .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id").alias("keeper"))
     )
-    of_hot = rows.join(F.broadcast(hot), ["h1", "h2"]).where((F.col("n_docs") >= min_docs) & (F.col("id") < F.col("keeper"))).select("id", "rk", "pos")
-    ranged = rows.join(F.broadcast(hot.select("h1", "h2")), ["h1", "h2"], "left_anti").withColumn("range", F.shiftrightunsigned("h1", 64 - RANGE_BITS)).repartition(shuffle_partitions(spark), "range")
+    of_hot = with_hot(rows, hot, "inner", few).where((F.col("n_docs") >= min_docs) & (F.col("id") < F.col("keeper"))).select("id", "rk", "pos")
+    bits = max(RANGE_BITS, (4 * shuffle_partitions(spark)).bit_length())
+    ranged = with_hot(rows, hot.select("h1", "h2"), "left_anti", few).withColumn("range", F.shiftrightunsigned("h1", 64 - bits)).repartition(shuffle_partitions(spark), "range")
     run = Window.partitionBy("range", "h1", "h2").orderBy(F.desc("id"), F.desc("rk"), "pos")
     # a document's number in its run; the last one is the number of documents
     new = F.coalesce(F.lag("id").over(run) != F.col("id"), F.lit(True)).cast("int")
@@ -80,12 +90,12 @@ def kept_text(text: Column, dropped: Column) -> Column:
     return F.array_join(F.flatten(gaps), "\n")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, **limits) -> DataFrame:
     """docs with four columns more: ``_n_lines``, ``_n_dropped``, ``_keep_bitmap`` and ``_kept_text``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     id_key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
     rk = F.xxhash64(F.col(id_col).isNull(), text)
-    dropped = dropped_lines(docs.select(id_key.alias("id"), rk.alias("rk"), text.alias("text")), min_chars, min_docs)
+    dropped = dropped_lines(docs.select(id_key.alias("id"), rk.alias("rk"), text.alias("text")), min_chars, min_docs, **limits)
     side = dropped.select(F.col("id").alias("_id"), F.col("rk").alias("_rk"), F.col("dropped").alias("_dropped")).hint("shuffle_hash")
     joined = docs.withColumn("_key", id_key).withColumn("_row", rk).join(side, (F.col("_key") == F.col("_id")) & (F.col("_row") == F.col("_rk")), "left")
     some = F.col("_dropped").isNotNull()

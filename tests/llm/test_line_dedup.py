@@ -43,6 +43,16 @@ def test_hot_lines(docs_of):
     assert sorted((r[:4] for r in got(docs_of(rows))), key=repr) == brute(rows)
 
 
+def test_limits_of_hot_lines_change_nothing(docs_of):
+    """Lines in nine tenths of the documents, with more of them than are broadcast."""
+    from pyspark.sql import functions as F
+
+    rows = [(k, f"{LINE}\nunique line number {k} of some length\n{OTHER if k % 10 else ''}\nshared by few of them {k % 40}") for k in range(200)]
+    for limits in ({"most_rows": 5, "most_hot": 0}, {"most_rows": 5}, {}):
+        x = d.dedup_lines(docs_of(rows), **limits).select("doc_id", "_n_lines", "_n_dropped", F.sha2("_kept_text", 256))
+        assert sorted(map(tuple, x.collect()), key=repr) == brute(rows)
+
+
 def test_odd_rows(odd_docs, docs_of, spark, sf):
     assert sorted((r[:4] for r in got(odd_docs)), key=repr) == brute([(r.doc_id, r.text) for r in odd_docs.collect()])
     assert got(docs_of([])) == []
