@@ -1,8 +1,9 @@
 """Packing: minimum bin slack by subset-sum dynamic programming on a bitset.
 
 Documents are tokenised, an end id is added, and each is cut at multiples of the window; full pieces fill windows of
-their own. The rest pieces are packed in blocks of some thousand documents (by a hash of the id): the longest piece
-left opens a window; a dynamic programme over the multiset of remaining lengths finds the largest sum that fits what
+their own. The pieces are packed in blocks of about as many as some thousand documents have, by a hash of the id, the
+ids' checksum and the piece's number among equal ones of its task, so that neither null ids nor copies make a block
+large (that number doesn't depend on the order in which a task reads its rows): the longest piece left opens a window; a dynamic programme over the multiset of remaining lengths finds the largest sum that fits what
 is left, as bits of one integer (bit s: s tokens can be had); how many of each length were taken is found backwards
 from the bitsets in between. At most one window a block ends up with much slack.
 
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from lakeshift.llm.common import documents, small_batches, spread
 
 WINDOW, END_ID, BLOCK_ROWS = 4096, 2, 2048
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+CUT = f"{PIECES}, nth long"
 PACKED = f"{PIECES}, sequence_id long, `offset` long"
 
 
@@ -113,15 +116,18 @@ def pieces(batches: Iterator[pa.RecordBatch], path: str, window: int, end_id: in
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenize = tokenizer_of(path)
     end = np.array([end_id], dtype="<u4").tobytes()
+    part, equal = (TaskContext.get() and TaskContext.get().partitionId()) or 0, {}
     for batch in batches:
         rows: list[tuple] = []
         for doc, ids in zip(batch.column(0).to_pylist(), [tokenize(x or "") for x in batch.column(1).to_pylist()], strict=True):
             ids += end
             n = len(ids) // 4
+            key = (doc, zlib.crc32(ids), n)
+            nth = equal[key] = equal.get(key, -1) + 1
             for at in range(0, n, window):
                 piece = ids[4 * at : 4 * (at + window)]
-                rows.append((doc, at, len(piece) // 4, zlib.crc32(piece), n))
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 5)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                rows.append((doc, at, len(piece) // 4, zlib.crc32(piece), n, (part << 40) + nth if nth else 0))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 6)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth"])
 
 
 def fullest(lengths: dict[int, int], room: int) -> dict[int, int]:
@@ -189,8 +195,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     spark = docs.sparkSession
     small_batches(spark)
     blocks = max(1, -(-docs.count() // block_rows))
-    cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda it: pieces(it, tokenizer, window, end_id), PIECES)
-    return cut.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks))).groupBy("block").applyInPandas(lambda rows: pack_block(rows, window), PACKED)
+    cut = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda it: pieces(it, tokenizer, window, end_id), CUT)
+    block = F.pmod(F.xxhash64("doc_id", "ids_crc32", "start", "nth"), F.lit(blocks))
+    return cut.withColumn("block", block).drop("nth").groupBy("block").applyInPandas(lambda rows: pack_block(rows, window), PACKED)
 
 
 def default_tokenizer() -> str:
