@@ -8,7 +8,8 @@ tallied, pairs below five are dropped, and the differing bits of the others are
 
 Documents of equal fingerprint are one node, under their least id. Posting lists longer than a limit aren't expanded
 into pairs: their fingerprints are compared in blocks by numpy, which returns a spanning forest of the links only.
-Lists longer than ``longest`` are first split by a fifth shared byte.
+Lists longer than ``longest`` are first split by a fifth shared byte, and those that still are by three of the six half
+bytes that are left (three differing bits leave three of them whole): no list then has more than 2^12 fingerprints.
 
 Nulls are empty texts, whose fingerprint is zero; a null id counts as larger than all others. Repeated rows share
 their component. An empty table gives no rows.
@@ -32,6 +33,8 @@ POSITIONS = [p for p in combinations(range(8), 4) if p[0] ^ p[1] ^ p[2] ^ p[3] =
 #: Posting lists up to this length are joined pair by pair; longer ones than LONGEST are split.
 PAIRWISE, LONGEST = 128, 20_000
 NO_ID = 2**63 - 1
+#: A fingerprint is hot if it has more rows than HOT_ROWS and than one in MOST_HOT of all.
+HOT_ROWS, MOST_HOT = 1000, 100_000
 #: Which bits each byte value has.
 BITS_OF = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="little").astype("i8")
 
@@ -120,11 +123,23 @@ def near_links(nodes: DataFrame, bits: int = BITS, pairwise: int = PAIRWISE, lon
         used = F.array([F.array([F.lit(x) for x in p]) for p in POSITIONS])[F.col("q")]
         long = postings.where(F.col("n") > pairwise).select(F.concat_ws(",", "q", "v").alias("key"), used.alias("used"), "fp", "n")
         if most > longest:
-            # at most three of the other four bytes differ, so one is shared; no list then has more than 2^24 fingerprints
+            # at most three of the other four bytes differ, so one is shared
             other = F.array_except(F.array(*[F.lit(x) for x in range(8)]), "used")
-            fifth = long.where(F.col("n") > longest).select("key", "fp", F.explode(other).alias("p"))
-            fifth = fifth.select(F.concat_ws(",", "key", "p", F.expr("shiftrightunsigned(fp, p * 8) & 255")).alias("key"), "fp")
-            long = long.where(F.col("n") <= longest).select("key", "fp").unionByName(fifth)
+            fifth = long.where(F.col("n") > longest).select("key", "fp", "used", F.explode(other).alias("p"))
+            byte = F.expr("shiftrightunsigned(fp, p * 8) & 255")
+            fifth = fifth.select(F.concat_ws(",", "key", "p", byte).alias("key"), "fp", F.array_except(other, F.array("p")).alias("left"))
+            long = long.where(F.col("n") <= longest).select("key", "fp")
+            sizes = checkpointed(fifth.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > longest))
+            if sizes.isEmpty():
+                long = long.unionByName(fifth.select("key", "fp"))
+            else:
+                fifth = fifth.join(F.broadcast(sizes) if sizes.count() <= 100_000 else sizes, "key", "left")
+                halves = F.flatten(F.transform("left", lambda p: F.array(p * 2, p * 2 + 1)))  # numbers of the six half bytes
+                three = F.array(*[F.array(*map(F.lit, c)) for c in combinations(range(6), 3)])
+                sixth = fifth.where("n IS NOT NULL").withColumn("halves", halves).withColumn("c", F.explode(three))
+                half = lambda k: F.expr(f"shiftrightunsigned(fp, halves[c[{k}]] * 4) & 15")
+                sixth = sixth.select(F.concat_ws(",", "key", F.array_join("c", "-"), *map(half, range(3))).alias("key"), "fp")
+                long = long.unionByName(fifth.where("n IS NULL").select("key", "fp")).unionByName(sixth)
         links = links.unionByName(long.select("key", "fp").groupBy("key").applyInArrow(lambda t: long_list(t, bits), "a long, b long"))
     return links
 
@@ -139,12 +154,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rk = F.when(F.col(text_col).isNotNull(), F.xxhash64(text_col)).otherwise(0)
     marked = checkpointed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), rk.alias("rk")).mapInArrow(with_fingerprints, "id long, rk long, fp long"))
     # dealt anew: each task then makes a bounded number of postings
-    nodes = checkpointed(marked.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("rep")).repartition(shuffle_partitions(docs.sparkSession), "fp"))
-    found = components(near_links(nodes, bits))
-    rooted = nodes.join(found, nodes.fp == found.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("root"))
+    nodes = checkpointed(marked.groupBy("fp").agg(F.min(F.coalesce("id", F.lit(NO_ID))).alias("rep"), F.count("*").alias("n")).repartition(shuffle_partitions(docs.sparkSession), "fp"))
+    found = components(near_links(nodes.select("fp"), bits))
+    rooted = nodes.join(found, nodes.fp == found.node, "left").select("fp", "rep", "n", F.coalesce("component", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("c"))
-    of_fp = rooted.join(least, "root").select("fp", "root", F.when(F.col("c") != NO_ID, F.col("c")).alias("component"))
-    return marked.join(of_fp, "fp").select("id", "rk", "fp", "component", "root")
+    of_fp = checkpointed(rooted.join(least, "root").select("fp", "root", "n", F.when(F.col("c") != NO_ID, F.col("c")).alias("component")))
+    # fingerprints of very many rows (as that of empty texts) are broadcast: there are at most rows / limit
+    limit = max(HOT_ROWS, marked.count() // MOST_HOT)
+    told = ["id", "rk", "fp", "component", "root"]
+    hot = F.broadcast(of_fp.where(F.col("n") > limit).drop("n"))
+    return marked.join(hot, "fp").select(*told).unionByName(marked.join(hot.select("fp"), "fp", "left_anti").join(of_fp.where(F.col("n") <= limit).drop("n"), "fp").select(*told))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:

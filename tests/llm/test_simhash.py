@@ -80,6 +80,21 @@ def test_links_by_pairs_by_forests_and_by_split_lists(spark):
     assert components_of(spark, fps, pairwise=2, longest=10) == want
 
 
+def test_lists_are_split_to_the_end(spark):
+    """Fingerprints that share five bytes: only the half bytes of the others tell them apart."""
+    rng = random.Random(3)
+    top = rng.getrandbits(40) << 24
+    fps = sorted({top | (rng.choice([0x123456, 0xABCDEF, rng.getrandbits(24)]) ^ (1 << rng.randrange(24)) ^ (1 << rng.randrange(24))) for _ in range(250)})
+    assert components_of(spark, fps, pairwise=2, longest=10) == roots(fps) == components_of(spark, fps)
+
+
+def test_rows_of_hot_fingerprints(docs_of, monkeypatch):
+    monkeypatch.setattr(s, "HOT_ROWS", 20)
+    rows = [(k, "") for k in range(300)] + [(300 + k, f"some words of text number {k} that differ much {k * 7919} {k * 104729}") for k in range(30)]
+    got = s.near_duplicates(docs_of(rows)).collect()
+    assert len(got) == 330 and {r.component for r in got if r.id < 300} == {0} and all(r.component is not None for r in got)
+
+
 def test_forest_is_whole():
     fps = dense(2, 200)
     links = s.forest(np.array(fps, "u8"), 3, block=7)
