@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
-from lakeshift.llm import chat, decontamination, fingerprints, language_model, line_dedup, packing, quality, resharding, simhash, substring_dedup
+from lakeshift.llm import chat, decontamination, fingerprints, language_model, line_dedup, packing, pipeline, quality, resharding, simhash, substring_dedup
 
 
 def queries() -> dict:
@@ -18,7 +17,7 @@ def queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_decontaminate": decontamination.op9_decontaminate,
         "op10_chat": chat.op10_chat,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 
