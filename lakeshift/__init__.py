@@ -13,10 +13,11 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package to the executors, unless they find it where the driver does (its folder or PYTHONPATH)."""
+    """Sends the package to the executors, unless they run here in the driver's folder or PYTHONPATH."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
-    if spark.sparkContext.applicationId in _SHIPPED or any(p and os.path.realpath(p) == os.path.realpath(root) for p in known):
+    here = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    if spark.sparkContext.applicationId in _SHIPPED or here and any(p and os.path.realpath(p) == os.path.realpath(root) for p in known):
         return
     folder = tempfile.mkdtemp(prefix="lakeshift")  # the driver serves it from there as long as it runs
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
