@@ -25,6 +25,8 @@ of their own. An empty table gives no rows; without training documents all words
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -66,6 +68,16 @@ def unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column, the text, is compressed for the shuffle."""
+    for batch in batches:
+        texts = [_ZIP.compress((x or "").encode("utf-8", "surrogatepass")) for x in batch.column(batch.num_columns - 1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.binary())], names=batch.schema.names)
+
+
 def joined(before: np.ndarray, token: np.ndarray, tag: int) -> np.ndarray:
     """Hashes of n-grams: of all words but the last, and that; the two low bits are the tag."""
     x = (before * M1) ^ (token * M2)
@@ -107,7 +119,7 @@ class Block:
     def __init__(self, docs: pa.Table):
         self.docs = docs.sort_by([("doc_id", "ascending"), ("n", "ascending")])
         self.number = docs["block"][0].as_py()
-        tokens, pairs, self.triples, self.n = walked(self.docs["text"].to_pylist())
+        tokens, pairs, self.triples, self.n = walked([_UNZIP.decompress(x).decode("utf-8", "surrogatepass") for x in self.docs["text"].to_pylist()])
         self.taught = np.repeat(~self.docs["held_out"].to_numpy(), self.n)
         self.hashes, at = np.unique(np.concatenate([tokens, pairs]), return_inverse=True)
         self.token_at, self.pair_at = at[: len(tokens)], at[len(tokens) :]
@@ -288,11 +300,12 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     place = row_place(docs)
     # rows that don't come from files are spread by what they hold, so that wholly equal ones share a block
     place = F.xxhash64(id_col, text_col) if place is None else place
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), n.alias("n"), F.col(text_col).alias("text"), place.alias("place"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), n.alias("n"), place.alias("place"), F.col(text_col).alias("text"))
     size = rows.agg(F.sum("n")).first()[0] or 0
     blocks, buckets = max(1, -(-size // block_bytes)), max(1, -(-size // bucket_bytes))
     ranges, many = min(buckets, fan), shuffle_partitions(spark)
-    blocked = rows.withColumn("block", F.pmod("place", F.lit(blocks)).cast("long")).drop("place").repartition(many, "block")
+    block = F.pmod("place", F.lit(blocks)).cast("long").alias("block")
+    blocked = rows.select("doc_id", "held_out", "n", block, "text").mapInArrow(zipped, "doc_id long, held_out boolean, n long, block long, text binary").repartition(many, "block")
     parts = blocked.groupBy("block").applyInArrow(lambda t: count_block(t, ranges), PARTS)
     totals, numbers = exchange(parts, ranges, buckets, fan)
     numbers = numbers.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n_tokens"), F.coalesce(F.sum("words"), F.lit(0)).alias("n_words"))
@@ -301,7 +314,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     more = blocked.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(lambda d, t: count_trigrams(d, t, ranges), PARTS)
     more, _ = exchange(more, ranges, buckets, fan)
     none = F.lit(None).cast("long")
-    both = totals.unionByName(of(more, 1).select("*", none.alias("n_tokens"), none.alias("n_words")))
+    both = totals.unionByName(of(more, 1).select("*", none.alias("n_tokens"), none.alias("n_words")).repartition(many, "block"))
     return blocked.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lambda d, t: score_block(d, t, prior), SCORED)
 
 

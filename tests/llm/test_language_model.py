@@ -115,7 +115,7 @@ def test_lanes_do_not_matter(spark, docs_of, monkeypatch):
     got = []
     for lanes in (1, 5, 10**6):
         monkeypatch.setattr(m, "LANES", lanes)
-        docs = pa.table({"doc_id": [d for d, _ in rows], "held_out": [d % 5 == 1 for d, _ in rows], "n": [len(t) for _, t in rows], "text": [t for _, t in rows], "block": [0] * len(rows)})
+        docs = pa.table({"doc_id": [d for d, _ in rows], "held_out": [d % 5 == 1 for d, _ in rows], "n": [len(t) for _, t in rows], "text": [m._ZIP.compress(t.encode()) for _, t in rows], "block": [0] * len(rows)})
         block = m.Block(docs)
         hashes, counts, at, _ = block.trigrams(np.zeros(len(block.hashes), bool))
         counts[hashes == 0] = 0
