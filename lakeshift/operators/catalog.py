@@ -149,14 +149,22 @@ def first_by(df: DataFrame, keys: list[str], *order) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_k = 1").drop("_k")
 
 
+def numbered(df: DataFrame, keys: list[str], *order, name: str = "rn") -> DataFrame:
+    """Each group's rows with their number in an order."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
 def co_located(tables: DataFrame) -> DataFrame:
-    """Commands that distribute tables (tname, distribution_column, colocation_id, shard_count): a group's first table is its anchor."""
-    by = Window.partitionBy("colocation_id").orderBy("tname")
-    x = tables.withColumn("rn", F.row_number().over(by)).withColumn("anchor", F.first("tname").over(by))
-    quoted = lambda c: F.concat(F.lit("'"), F.replace(F.col(c), F.lit("'"), F.lit("''")), F.lit("'"))
-    start = F.concat(F.lit("select create_distributed_table("), quoted("tname"), F.lit(", "), quoted("distribution_column"))
-    first = F.concat(start, F.lit(", shard_count := "), F.col("shard_count").cast("string"), F.lit(", colocate_with := 'none')"))
-    return x.withColumn("command", F.when(F.col("rn") == 1, first).otherwise(F.concat(start, F.lit(", colocate_with := "), quoted("anchor"), F.lit(")"))))
+    """Commands that distribute tables (tname, distribution_column, colocation_id, shard_count).
+
+    Of each group, the table of the least name is distributed by itself; the others join it.
+    """
+    anchors = tables.groupBy("colocation_id").agg(F.min("tname").alias("anchor"))
+    literal = lambda c: F.concat(F.lit("'"), F.replace(F.col(c), F.lit("'"), F.lit("''")), F.lit("'"))
+    alone = F.concat(F.lit("shard_count := "), F.col("shard_count").cast("string"), F.lit(", colocate_with := 'none'"))
+    how = F.when(F.col("tname") == F.col("anchor"), alone).otherwise(F.concat(F.lit("colocate_with := "), literal("anchor")))
+    command = F.concat(F.lit("select create_distributed_table("), F.concat_ws(", ", literal("tname"), literal("distribution_column"), how), F.lit(")"))
+    return tables.join(anchors, "colocation_id").withColumn("command", command)
 
 
 def extension_versions(updates: DataFrame) -> DataFrame:

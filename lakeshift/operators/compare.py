@@ -10,17 +10,17 @@ from pyspark.sql import functions as F
 from lakeshift.functions.checksum import table_checksum
 
 
-def checksums(tables: dict[str, DataFrame], columns: dict[str, list[str]] | None = None, portable: bool = True) -> DataFrame:
+def checksums(tables: dict[str, DataFrame], columns: dict[str, list[str]] | None = None, portable: bool = False) -> DataFrame:
     """(table_name, row_count, checksum), a row for each table; all of them run as one job."""
     of = lambda name, df: table_checksum(df, (columns or {}).get(name), portable).select(F.lit(name).alias("table_name"), "row_count", "checksum")
     return reduce(DataFrame.unionByName, [of(n, df) for n, df in tables.items()])
 
 
-def compare_data(source: dict[str, DataFrame], target: dict[str, DataFrame], portable: bool = True) -> DataFrame:
+def compare_data(source: dict[str, DataFrame], target: dict[str, DataFrame], portable: bool = False) -> DataFrame:
     """(table_name, source_rows, target_rows, source_checksum, target_checksum, status).
 
     Both sides are read by the source's column list. status: ok, rows (the counts differ, so checksums say no more),
-    checksum, or missing (there is no such target).
+    checksum, or missing (there is no such target). portable: by the form that other engines can compute.
     """
     lists = {n: df.columns for n, df in source.items()}
     there = {n: df for n, df in target.items() if n in source}
@@ -32,7 +32,7 @@ def compare_data(source: dict[str, DataFrame], target: dict[str, DataFrame], por
     return a.join(b, "table_name", "left").select("table_name", "source_rows", "target_rows", "source_checksum", "target_checksum", status.alias("status"))
 
 
-def compare_many(sides: dict[str, tuple[dict[str, DataFrame], dict[str, DataFrame]]], portable: bool = True) -> DataFrame:
+def compare_many(sides: dict[str, tuple[dict[str, DataFrame], dict[str, DataFrame]]], portable: bool = False) -> DataFrame:
     """compare_data over several databases: their name comes first."""
     return reduce(DataFrame.unionByName, [compare_data(a, b, portable).select(F.lit(d).alias("datname"), "*") for d, (a, b) in sides.items()])
 

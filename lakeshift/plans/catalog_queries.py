@@ -55,15 +55,20 @@ def filter_rule_table(spark, sf_dir) -> DataFrame:
 
 
 @query("""
-WITH r(section, nsp, nsp_re, rel, rel_re) AS (VALUES ('a', 'x', NULL, 't1', NULL), ('a', 'x', NULL, 't0', NULL), ('a', NULL, '^y', 't2', NULL), ('b', 'x', NULL, NULL, 'z$'), ('b', NULL, '^q', NULL, 'p'))
+WITH r AS (SELECT 's' || CAST(c_nationkey % 3 AS VARCHAR) AS section, CASE WHEN c_custkey % 2 = 0 THEN 'n' || CAST(c_nationkey AS VARCHAR) END AS nsp, CASE WHEN c_custkey % 2 = 1 THEN '^n' || CAST(c_nationkey AS VARCHAR) END AS nsp_re,
+  CASE WHEN c_custkey % 3 > 0 THEN c_name END AS rel, CASE WHEN c_custkey % 3 = 0 THEN c_name || '$' END AS rel_re FROM customer)
 SELECT section, coalesce(string_agg(nsp, ',' ORDER BY nsp, rel) FILTER (WHERE nsp IS NOT NULL AND rel IS NOT NULL), '') AS ee_nsp, coalesce(string_agg(rel, ',' ORDER BY nsp, rel) FILTER (WHERE nsp IS NOT NULL AND rel IS NOT NULL), '') AS ee_rel,
   coalesce(string_agg(nsp, ',' ORDER BY nsp, rel_re) FILTER (WHERE nsp IS NOT NULL AND rel_re IS NOT NULL), '') AS er_nsp, coalesce(string_agg(rel_re, ',' ORDER BY nsp, rel_re) FILTER (WHERE nsp IS NOT NULL AND rel_re IS NOT NULL), '') AS er_rel,
   coalesce(string_agg(nsp_re, ',' ORDER BY nsp_re, rel) FILTER (WHERE nsp_re IS NOT NULL AND rel IS NOT NULL), '') AS re_nsp, coalesce(string_agg(rel, ',' ORDER BY nsp_re, rel) FILTER (WHERE nsp_re IS NOT NULL AND rel IS NOT NULL), '') AS re_rel,
   coalesce(string_agg(nsp_re, ',' ORDER BY nsp_re, rel_re) FILTER (WHERE nsp_re IS NOT NULL AND rel_re IS NOT NULL), '') AS rr_nsp, coalesce(string_agg(rel_re, ',' ORDER BY nsp_re, rel_re) FILTER (WHERE nsp_re IS NOT NULL AND rel_re IS NOT NULL), '') AS rr_rel
 FROM r GROUP BY section""")
 def filter_rule_arrays(spark, sf_dir) -> DataFrame:
-    rows = [("a", "x", None, "t1", None), ("a", "x", None, "t0", None), ("a", None, "^y", "t2", None), ("b", "x", None, None, "z$"), ("b", None, "^q", None, "p")]
-    return filters.rule_arrays(spark.createDataFrame(rows, "section string, nspname string, nspname_re string, relname string, relname_re string"))
+    k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    rules = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("s"), (F.col("c_nationkey") % 3).cast("string")).alias("section"), F.when(k % 2 == 0, F.concat(F.lit("n"), n)).alias("nspname"), F.when(k % 2 == 1, F.concat(F.lit("^n"), n)).alias("nspname_re"),
+        F.when(k % 3 > 0, F.col("c_name")).alias("relname"), F.when(k % 3 == 0, F.concat("c_name", F.lit("$"))).alias("relname_re"),
+    )
+    return filters.rule_arrays(rules)
 
 
 @query("""
@@ -126,33 +131,40 @@ def depends_closure(spark, sf_dir) -> DataFrame:
 
 @query(_CLOSURE)
 def depends_closure_recursive(spark, sf_dir) -> DataFrame:
-    return depends.closure_sql(edges(spark, sf_dir))
+    e = edges(spark, sf_dir)
+    return depends.closure(e, e.select(F.col("src").alias("obj")), near=1)
 
 
-_ROOTS = "roots AS (SELECT src AS obj FROM edges WHERE deptype = 'i' EXCEPT SELECT dst FROM edges WHERE deptype = 'i')"
+#: Objects that own internal ones, and what they own in the end.
+HELD_SQL = """held AS (
+  SELECT DISTINCT e.src AS owner, e.src AS obj FROM edges e WHERE e.deptype = 'i' AND NOT EXISTS (SELECT 1 FROM edges x WHERE x.deptype = 'i' AND x.dst = e.src)
+  UNION SELECT h.owner, e.dst FROM held h JOIN edges e ON e.src = h.obj AND e.deptype = 'i')"""
 
 
-@query(f"WITH {EDGES_SQL}, {_ROOTS} SELECT src AS obj FROM edges WHERE deptype IN ('n', 'a') UNION SELECT dst FROM edges WHERE deptype IN ('n', 'a') EXCEPT SELECT obj FROM roots")
+@query(f"""WITH RECURSIVE {EDGES_SQL}, {HELD_SQL}
+SELECT DISTINCT obj FROM (SELECT unnest([src, dst]) AS obj FROM edges WHERE deptype <> 'i') WHERE obj NOT IN (SELECT owner FROM held)""")
 def depends_roots_except(spark, sf_dir) -> DataFrame:
     return depends.outer_objects(edges(spark, sf_dir))
 
 
-@query(f"""WITH RECURSIVE {EDGES_SQL}, {_ROOTS}, f AS (SELECT obj AS normal, obj AS internal FROM roots UNION SELECT f.normal, e.dst FROM f JOIN edges e ON e.deptype = 'i' AND e.src = f.internal)
-SELECT DISTINCT coalesce(a.normal, e.src) AS src, coalesce(b.normal, e.dst) AS dst, deptype FROM edges e LEFT JOIN f a ON e.src = a.internal LEFT JOIN f b ON e.dst = b.internal
-WHERE deptype IN ('n', 'a') AND coalesce(a.normal, e.src) <> coalesce(b.normal, e.dst)""")
+@query(f"""WITH RECURSIVE {EDGES_SQL}, {HELD_SQL},
+ends AS (SELECT src, dst, deptype, unnest([src, dst]) AS obj, unnest([0, 1]) AS side FROM edges WHERE deptype <> 'i'),
+named AS (SELECT ends.*, coalesce(owner, ends.obj) AS name FROM ends LEFT JOIN held ON held.obj = ends.obj)
+SELECT DISTINCT a.name AS src, b.name AS dst, a.deptype FROM named a JOIN named b ON a.src = b.src AND a.dst = b.dst AND a.deptype = b.deptype AND a.side = 0 AND b.side = 1 WHERE a.name <> b.name""")
 def depends_remap(spark, sf_dir) -> DataFrame:
     return depends.remapped(edges(spark, sf_dir))
 
 
-_FK = "fk(oid, conrelid, confrelid) AS (VALUES (1, 11, 10), (2, 12, 11), (3, 13, 11), (4, 14, 12), (5, 14, 13), (6, 15, 14), (7, 16, 10), (8, 15, 11), (9, 17, 17))"
-
-
-@query(f"""WITH RECURSIVE {_FK}, c AS (SELECT * FROM fk WHERE conrelid <> confrelid),
-r AS (SELECT DISTINCT confrelid AS relid, 0 AS depth FROM c WHERE confrelid NOT IN (SELECT conrelid FROM c) UNION SELECT c.conrelid, r.depth + 1 FROM r JOIN c ON c.confrelid = r.relid)
-SELECT relid, CAST(max(depth) AS INT) AS depth FROM r GROUP BY relid""")
+@query("""WITH RECURSIVE every AS (SELECT c_custkey AS a, c_custkey // 2 AS b FROM customer UNION SELECT c_custkey, c_custkey // 3 + 1 FROM customer WHERE c_custkey > 3 UNION SELECT c_custkey, c_custkey FROM customer),
+fk AS (SELECT * FROM every WHERE a <> b),
+walk AS (SELECT b AS relid, 0 AS depth FROM fk WHERE b NOT IN (SELECT a FROM fk) UNION SELECT fk.a, walk.depth + 1 FROM walk JOIN fk ON fk.b = walk.relid)
+SELECT relid, CAST(max(depth) AS INT) AS depth FROM walk GROUP BY relid""")
 def fk_topological_depth(spark, sf_dir) -> DataFrame:
-    rows = [(1, 11, 10), (2, 12, 11), (3, 13, 11), (4, 14, 12), (5, 14, 13), (6, 15, 14), (7, 16, 10), (8, 15, 11), (9, 17, 17)]
-    return depends.foreign_key_depth(spark.createDataFrame(rows, "oid long, conrelid int, confrelid int"))
+    """Each customer refers to those of half and of a third of its key, and to itself."""
+    k = F.col("c_custkey")
+    half, third = F.floor(k / 2).cast("long"), F.when(k > 3, F.floor(k / 3).cast("long") + 1)
+    x = table(spark, sf_dir, "customer").select(k.cast("long").alias("conrelid"), F.explode(F.array(half, third, k.cast("long"))).alias("confrelid"))
+    return depends.foreign_key_depth(x.where("confrelid IS NOT NULL"))
 
 
 @query(f"""WITH RECURSIVE {EDGES_SQL}, r AS (SELECT 'n3' AS obj UNION SELECT 'n7' UNION SELECT e.dst FROM r JOIN edges e ON e.src = r.obj) SELECT obj FROM r""")
@@ -161,12 +173,13 @@ def depends_of_filtered(spark, sf_dir) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT n_name AS tname, 'id' AS distribution_column, n_regionkey AS colocation_id, 32 AS shard_count FROM nation),
-o AS (SELECT *, row_number() OVER (PARTITION BY colocation_id ORDER BY tname) AS rn, first_value(tname) OVER (PARTITION BY colocation_id ORDER BY tname) AS anchor FROM t)
-SELECT tname, CAST(rn AS INT) AS rn, anchor, CASE WHEN rn = 1 THEN 'select create_distributed_table(''' || tname || ''', ''id'', shard_count := 32, colocate_with := ''none'')' ELSE 'select create_distributed_table(''' || tname || ''', ''id'', colocate_with := ''' || anchor || ''')' END AS command FROM o""")
+WITH g AS (SELECT n_regionkey, min(n_name) AS anchor FROM nation GROUP BY n_regionkey)
+SELECT n_name AS tname, CAST((SELECT count(*) FROM nation m WHERE m.n_regionkey = n.n_regionkey AND m.n_name <= n.n_name) AS INT) AS rn, anchor,
+  format('select create_distributed_table({0}{1}{0}, {0}id{0}, {2})', chr(39), n_name, CASE WHEN n_name = anchor THEN format('shard_count := 32, colocate_with := {0}none{0}', chr(39)) ELSE format('colocate_with := {0}{1}{0}', chr(39), anchor) END) AS command
+FROM nation n JOIN g ON g.n_regionkey = n.n_regionkey""")
 def anchor_first_value(spark, sf_dir) -> DataFrame:
     t = table(spark, sf_dir, "nation").select(F.col("n_name").alias("tname"), F.lit("id").alias("distribution_column"), F.col("n_regionkey").alias("colocation_id"), F.lit(32).alias("shard_count"))
-    return catalog.co_located(t).select("tname", "rn", "anchor", "command")
+    return catalog.numbered(catalog.co_located(t), ["colocation_id"], "tname").select("tname", "rn", "anchor", "command")
 
 
 @query("SELECT DISTINCT ON (o_custkey) o_custkey, o_orderkey, o_orderpriority FROM orders ORDER BY o_custkey, o_orderpriority, o_orderkey")
@@ -182,14 +195,19 @@ def lateral_top1(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").join(best, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.col("b.o_orderkey").alias("o_orderkey"), F.round(F.col("b.o_totalprice") * 100).cast("long").alias("cents"))
 
 
-_INDEXES = "VALUES (1, 'a_name', false, true, 'name', 'string'), (1, 'a_pkey', true, true, 'id', 'bigint'), (2, 'b_x', false, true, 'x', 'int'), (2, 'b_w', false, true, 'w', 'int'), (3, 'c_two', true, true, 'a,b', 'int,int'), (4, 'd_n', false, false, 'n', 'int')"
+#: Suppliers are indexes of the tables of their nations: some primary, some unique, of one or two columns.
+INDEXES_SQL = """i AS (SELECT s_nationkey AS tableoid, s_name AS indexname, s_suppkey % 5 = 0 AS isprimary, s_suppkey % 3 <> 1 AS isunique, CASE WHEN s_suppkey % 4 = 0 THEN 'a,b' ELSE 'c' || CAST(s_suppkey % 7 AS VARCHAR) END AS cols,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'int,int' WHEN s_suppkey % 2 = 0 THEN 'bigint' ELSE 'string' END AS types FROM supplier)"""
 
 
-@query(f"""WITH i(tableoid, indexname, isprimary, isunique, cols, types) AS ({_INDEXES})
+@query(f"""WITH {INDEXES_SQL}
 SELECT tableoid, cols AS attname FROM (SELECT *, row_number() OVER (PARTITION BY tableoid ORDER BY NOT isprimary, indexname) AS k FROM i WHERE isunique AND cols NOT LIKE '%,%' AND types IN ('int', 'bigint')) WHERE k = 1""")
 def key_candidate_topk(spark, sf_dir) -> DataFrame:
-    i = spark.sql(f"SELECT * FROM {_INDEXES} AS i(tableoid, indexname, isprimary, isunique, cols, types)")
-    return catalog.split_key(i.withColumn("columns", F.split("cols", ",")).withColumn("types", F.split("types", ",")))
+    k = F.col("s_suppkey")
+    cols = F.when(k % 4 == 0, "a,b").otherwise(F.concat(F.lit("c"), (k % 7).cast("string")))
+    types = F.when(k % 4 == 0, "int,int").when(k % 2 == 0, "bigint").otherwise("string")
+    i = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("tableoid"), F.col("s_name").alias("indexname"), (k % 5 == 0).alias("isprimary"), (k % 3 != 1).alias("isunique"), F.split(cols, ",").alias("columns"), F.split(types, ",").alias("types"))
+    return catalog.split_key(i)
 
 
 @query(f"WITH a(relname, attnum, attname, typname) AS (VALUES {_NAMES}) SELECT relname AS oid, string_agg(attname, ', ' ORDER BY attnum) FILTER (WHERE typname <> 't') AS attrs FROM a GROUP BY relname")
@@ -229,10 +247,14 @@ def group_concat_filter(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.expr("string_agg(n_name, ',') WITHIN GROUP (ORDER BY n_name) FILTER (WHERE n_nationkey % 2 = 0)").alias("even_names"), F.expr("string_agg(n_name, ',') WITHIN GROUP (ORDER BY n_nationkey DESC)").alias("names"))
 
 
-@query("""SELECT 'orders' AS extname, '["1.1","1.2","1.2.1"]' AS versions UNION ALL SELECT 'parts', '["2.0"]'""")
+@query("""
+WITH v AS (SELECT DISTINCT n_regionkey AS k, 2 + n_nationkey % 2 AS steps, '1.' || CAST(n_nationkey AS VARCHAR) AS version FROM nation)
+SELECT 'ext' || CAST(k AS VARCHAR) AS extname, '["' || string_agg(version, '","' ORDER BY steps, version) || '"]' AS versions FROM v GROUP BY k""")
 def extension_versions(spark, sf_dir) -> DataFrame:
-    rows = [("orders", "1.0--1.2"), ("orders", "1.0--1.1"), ("orders", "1.0--1.1--1.2.1"), ("parts", "1--2.0")]
-    return catalog.extension_versions(spark.createDataFrame(rows, "extname string, path string"))
+    """Nations are versions of their region's extension, some by a version in between."""
+    k = F.col("n_nationkey")
+    path = F.concat(F.lit("1.0--"), F.when(k % 2 == 1, "1.0.1--").otherwise(""), F.lit("1."), k.cast("string"))
+    return catalog.extension_versions(table(spark, sf_dir, "nation").select(F.concat(F.lit("ext"), F.col("n_regionkey").cast("string")).alias("extname"), path.alias("path")))
 
 
 def timings(spark, sf_dir) -> DataFrame:

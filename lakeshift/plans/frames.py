@@ -20,17 +20,23 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if 2 * df._jdf.toJavaRDD().getNumPartitions() <= cores else df
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Writes the rows to the shared checkpoint folder; a folder of this machine only where none is set."""
-    context = df.sparkSession.sparkContext
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; one of this machine only where none is set and all runs here, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Writes the rows to the shared checkpoint folder and cuts the lineage there."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
-    return f"{context.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -247,7 +247,7 @@ def truncated_oids(data: bytes) -> list[int]:
 
 
 class BinaryReader:
-    """Reads the binary messages of one stream, one after another; the first description of a relation counts."""
+    """Reads the binary messages of one stream, one after another; the last description of a relation counts."""
 
     def __init__(self) -> None:
         self.relations: dict[int, Relation] = {}
@@ -257,7 +257,7 @@ class BinaryReader:
         kind = chr(data[0])
         if kind == "R":
             oid, relation = relation_of(data)
-            self.relations.setdefault(oid, relation)
+            self.relations[oid] = relation
             return []
         oids = truncated_oids(data) if kind == "T" else [struct.unpack_from(">I", data, 1)[0]] if kind in "IUD" else [None]
         found = [change_of(data, self.relations.get(o)) for o in oids]
@@ -270,8 +270,8 @@ RELATIONS = "stream long, oid long, at long, nspname string, relname string, nam
 def from_binary_messages(messages: DataFrame) -> DataFrame:
     """DECODED rows of (stream, id, lsn, xid, message), each message by itself.
 
-    Descriptions of relations are read first, the earliest of each oid counts, and changes are joined with theirs, so
-    that a stream's messages may be read by many tasks. A change before its relation's description is read with it, too.
+    Descriptions of relations are read first, and changes are joined with the last one before them, so that a stream's
+    messages may be read by many tasks. A change before its relation's first description is read with that.
     """
     kind = F.substring("message", 1, 1)
     number = lambda start: F.conv(F.hex(F.substring("message", start, 4)), 16, 10).cast("long")
@@ -282,7 +282,10 @@ def from_binary_messages(messages: DataFrame) -> DataFrame:
             yield pd.DataFrame([(s, oid, i, nsp, rel, [c[0] for c in cs], [c[1] for c in cs]) for s, i, oid, (nsp, rel, cs) in rows], columns=["stream", "oid", "at", "nspname", "relname", "names", "keys"])
 
     known = messages.where(kind == b"R").select("stream", "id", "message").mapInPandas(relations, RELATIONS)
-    first = known.groupBy("stream", "oid").agg(F.min_by(F.struct("nspname", "relname", "names", "keys"), "at").alias("r")).select("stream", "oid", "r.*")
+    # a relation has few descriptions: one for each change of its columns
+    every = known.groupBy("stream", "oid").agg(F.array_sort(F.collect_list(F.struct("at", "nspname", "relname", "names", "keys"))).alias("all"))
+    described = F.filter("all", lambda r: r["at"] < F.col("id"))
+    relation = F.when(F.size(described) > 0, F.element_at(described, -1)).otherwise(F.get("all", F.lit(0)))
     oids = F.when(kind == b"T", F.transform(F.sequence(F.lit(0), number(2) - 1), lambda k: F.conv(F.hex(F.substring(F.col("message"), k.cast("int") * 4 + 7, F.lit(4))), 16, 10).cast("long"))).when(kind.isin(b"I", b"U", b"D"), F.array(number(2)))
     rest = messages.where(kind.isin(b"B", b"C", b"I", b"U", b"D", b"T")).select("stream", "id", "lsn", "xid", "message", F.explode_outer(oids).alias("oid"))
 
@@ -295,7 +298,8 @@ def from_binary_messages(messages: DataFrame) -> DataFrame:
                 out.append((i, lsn if own_lsn is None else own_lsn, xid if own_xid is None else own_xid, action, nsp, rel, old, _structs(cols)))
             yield _frame(out)
 
-    return rest.join(first, ["stream", "oid"], "left").select("id", "lsn", "xid", "message", "nspname", "relname", "names", "keys").mapInPandas(read, DECODED)
+    told = rest.join(every, ["stream", "oid"], "left").select("id", "lsn", "xid", "message", relation.alias("r"))
+    return told.select("id", "lsn", "xid", "message", "r.nspname", "r.relname", "r.names", "r.keys").mapInPandas(read, DECODED)
 
 
 def sent_columns(cols: Column, section: str) -> Column:

@@ -2,8 +2,11 @@
 
 The state lies in buckets of keys. Each micro-batch writes a new version of the buckets that its changes touch, the
 messages of transactions that haven't ended, and a note with the position and the version of each bucket; all become
-visible together when the note is written. A batch that is run again finds its note and does nothing, so that results
-are exactly once. What a batch costs depends on the buckets that it touches, not on the whole state.
+visible together when the note is written. A batch of the same checkpoint that is run again finds its note and does
+nothing; with another checkpoint, or none, positions decide: transactions that end at or before the state's position
+are passed over, and messages that come again count once. So results are exactly once however often a stream is begun
+anew. What a batch costs depends on the buckets that it touches, not on the whole state. Versions that neither of the
+last two notes needs are removed.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ class Applier:
     """
 
     def __init__(self, spark: SparkSession, path: str, key: list[str], columns: list[str], unchanged: dict[str, Column] | None = None, endpos: int = 0, buckets: int = 64):
+        self.checkpoint: str | None = None
         self.spark, self.path, self.key, self.columns, self.unchanged, self.endpos, self.buckets = spark, path, key, columns, unchanged, endpos, buckets
 
     def _fs(self, path: str):
@@ -42,6 +46,19 @@ class Applier:
     def note(self, version: int) -> dict:
         return json.loads(self.spark.read.option("wholetext", True).text(f"{self.path}/done-{version:012d}").first()[0])
 
+    def _remove(self, path: str) -> None:
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+
+    def _prune(self) -> None:
+        """Removes what the last two notes don't need."""
+        kept = self.versions()[-2:]
+        needed = {*kept, *(v for k in kept for v in self.note(k)["buckets"].values())}
+        for name in self._names(self.path):
+            kind, _, number = name.partition("-" if name.startswith("done-") else "=")
+            if (kind == "v" and int(number) < kept[-1] and int(number) not in needed) or (kind == "done" and int(number) not in kept):
+                self._remove(f"{self.path}/{name}")
+
     def _mark(self, version: int, note: dict) -> None:
         fs, p = self._fs(f"{self.path}/done-{version:012d}")
         out = fs.create(p, True)
@@ -66,8 +83,9 @@ class Applier:
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         note = self._last()
-        if note["version"] is not None and note["version"] >= batch_id:
+        if note["version"] is not None and note["checkpoint"] == self.checkpoint and note["batch"] >= batch_id:
             return
+        version = 0 if note["version"] is None else note["version"] + 1
         log = batch
         if note["version"] is not None:
             log = self.spark.read.schema(batch.schema).parquet(f"{self.path}/v={note['version']:012d}/pending").unionByName(batch)
@@ -78,7 +96,7 @@ class Applier:
             ready = ready.where(F.col("begin_lsn") <= self.endpos)
         if note["stopped"]:
             ready = ready.where(F.lit(False))
-        out = f"{self.path}/v={batch_id:012d}"
+        out = f"{self.path}/v={version:012d}"
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         changes = in_commit_order(log).join(ready.select("xid"), "xid", "left_semi")
         schema = changes.select(*self.key, *self.columns).schema
@@ -91,14 +109,16 @@ class Applier:
             rows = merged(self._read(note, touched), changes, self.key, self.columns, ["commit_lsn", "id"], self.unchanged)
             rows.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/state")
         kept = {b: v for b, v in note["buckets"].items() if int(b) not in touched}
-        written = {n.removeprefix("bucket="): batch_id for n in self._names(f"{out}/state") if n.startswith("bucket=")}
+        written = {n.removeprefix("bucket="): version for n in self._names(f"{out}/state") if n.startswith("bucket=")}
         log.join(txn.where("outcome = 'open'").select("xid"), "xid", "left_semi").select(*batch.columns).write.mode("overwrite").parquet(f"{out}/pending")
         last = ready.agg(F.max("end_lsn")).first()[0] or note["replay_lsn"]
-        self._mark(batch_id, {"replay_lsn": last, "stopped": note["stopped"] or bool(self.endpos and last >= self.endpos), "buckets": kept | written, "schema": note["schema"]})
+        self._mark(version, {"checkpoint": self.checkpoint, "batch": batch_id, "replay_lsn": last, "stopped": note["stopped"] or bool(self.endpos and last >= self.endpos), "buckets": kept | written, "schema": note["schema"]})
+        self._prune()
         log.unpersist()
         txn.unpersist()
 
     def run(self, stream: DataFrame, checkpoint: str, available_now: bool = True):
         """Starts the query; with available_now it ends when all that is there was applied."""
+        self.checkpoint = checkpoint
         writer = stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")).start()

@@ -181,6 +181,23 @@ def test_applier_waits_for_ends_and_repeats_nothing(spark, tmp_path):
     assert rows_of(a) == [(1, "c")] and a.cursor() == 25
 
 
+def test_applier_goes_on_with_another_checkpoint(spark, tmp_path):
+    """Positions decide, not numbers of batches: nothing is lost or applied twice, and old versions go."""
+    put = lambda rows: spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    a = Applier(spark, str(tmp_path / "state"), ["k"], ["v"], buckets=2)
+    run = lambda c: a.run(spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log")), str(tmp_path / c)).awaitTermination()
+    for k in range(3):
+        put(txn(k + 1, 10 * (k + 1), [("I", k, "a")]))
+    run("one")
+    assert rows_of(a) == [(0, "a"), (1, "a"), (2, "a")]
+    put(txn(9, 90, [("U", 1, "b"), ("D", 2, None)]))
+    run("two")
+    assert rows_of(a) == [(0, "a"), (1, "b")] and a.cursor() > 90
+    run("two")
+    assert rows_of(a) == [(0, "a"), (1, "b")]
+    assert len(a.versions()) == 2 and len(list((tmp_path / "state").glob("v=*"))) <= 4
+
+
 def test_applier_ignores_rollbacks_and_truncates(spark, tmp_path):
     a = applied(spark, tmp_path, [txn(1, 10, [("I", 1, "a")]) + txn(2, 20, [("U", 1, "x")], "R"), txn(3, 30, [("T", None, None), ("I", 3, "z")])])
     assert rows_of(a) == [(3, "z")]

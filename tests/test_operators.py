@@ -89,12 +89,44 @@ def test_missing_tables_to_include_are_errors(spark):
 
 def test_closures_end_in_cycles(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "src string, dst string")
-    a, b = depends.closure(e), depends.closure_sql(e)
+    a, b = depends.closure(e), depends.closure(e, e.selectExpr("src AS obj"), near=0)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert {r.obj for r in a.where("root = 'a'").collect()} == {"a", "b", "c", "d"}
     assert {r.obj for r in depends.dependents_of(e, spark.createDataFrame([("d",)], "obj string")).collect()} == {"d"}
 
 
+def test_deep_and_layered_dependencies(spark):
+    """Many paths between few objects, and a long chain: neither is listed path by path or step by step."""
+    layers = [(f"{k}.{a}", f"{k + 1}.{b}") for k in range(12) for a in range(3) for b in range(3)]
+    e = spark.createDataFrame(layers, "src string, dst string")
+    got = depends.closure(e, spark.createDataFrame([("0.0",)], "obj string"))
+    assert {(r.obj, r.depth) for r in got.collect()} == {("0.0", 0), *((f"{k}.{b}", k) for k in range(1, 13) for b in range(3))}
+    chain = spark.createDataFrame([(k, k + 1) for k in range(130)], "src int, dst int")
+    assert depends.closure(chain, near=2).count() == sum(131 - k for k in range(130))
+    reached = depends.closure(chain, spark.createDataFrame([(0,)], "obj int"), near=2)
+    assert sorted((r.obj, r.depth) for r in reached.collect()) == [(k, k) for k in range(131)]
+    inside = chain.withColumn("deptype", F.lit("i")).unionByName(spark.createDataFrame([(130, 999, "n"), (500, 77, "a")], "src int, dst int, deptype string"))
+    assert {tuple(r) for r in depends.remapped(inside).collect()} == {(0, 999, "n"), (500, 0, "a")}
+
+
+def test_depth_of_long_chains_and_cycles(spark):
+    keys = [(k + 1, k) for k in range(10_000)] + [(20_001, 20_000), (20_000, 20_001), (20_001, 5), (30_000, 30_001), (30_001, 30_000), (7, 7)]
+    layers = [(100_000 + 10 * (k + 1) + a, 100_000 + 10 * k + b) for k in range(12) for a in range(3) for b in range(3)]
+    got = {r.relid: r.depth for r in depends.foreign_key_depth(spark.createDataFrame(keys + layers, "conrelid int, confrelid int")).collect()}
+    assert got[10_000] == 10_000 and got[20_001] == 6 and got[20_000] == 7 and 30_000 not in got and got[100_120] == 12
+
+
+def test_checksums_tell_rows_apart(spark):
+    from lakeshift.functions.checksum import table_checksum
+
+    rows = [[(1.001, "a|b", "c")], [(1.004, "a|b", "c")], [(1.001, "a", "b|c")], [(1e300, None, "c")], [(1e300, "c", None)], [(1e300, "~N", "c")], [(float("nan"), "N", "c")], [(float("inf"), "", "")], [(float("-inf"), "", "")], [(5e-324, "", "")], [(1e-323, "", "")], [(0.1 + 0.2, "", "")], [(0.3, "", "")], [(None, "", "")], [(2.0, "", "")], [(1.9999999999999998, "", "")], [(4.0, "", "")]]
+    for portable in (True, False):
+        sums = [table_checksum(spark.createDataFrame(r, "x double, a string, b string"), portable=portable).first().checksum for r in rows]
+        assert len(set(sums)) == len(rows)
+        zero, minus = (table_checksum(spark.createDataFrame([(x,)], "x double"), portable=portable).first().checksum for x in (0.0, -0.0))
+        assert zero == minus
+
+
 def test_compare(spark):
     a = spark.createDataFrame([(1, "x"), (2, None)], "k int, v string")
     got = compare.compare_data({"same": a, "rows": a, "sum": a, "gone": a, "wide": a}, {"same": a.orderBy("v"), "rows": a.limit(1), "sum": a.fillna("y"), "wide": a.withColumn("more", F.lit(1))}, portable=False)
