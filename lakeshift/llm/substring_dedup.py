@@ -22,6 +22,9 @@ task, so that all windows of a key meet (agreement isn't transitive: no window c
 window shares exactly with any other of its key, and not only with its neighbours in the forest, is found by hashes of
 its stretches and widens its span. (5) Links between texts and exact copies give the documents' classes.
 
+A shingle that repeats takes part in the minima once in ``span`` positions only, so that text that repeats a word or
+phrase makes no window at each place. (Without this rule the comparisons take ten times as long; see the README.)
+
 Nulls and texts of fewer than 50 words have no passages and are a class of their own. A null id is a node like any
 other (and comes back as null). Repeated rows are exact copies. An empty table gives no rows.
 """
@@ -47,7 +50,7 @@ ENOUGH = int(np.ceil(2 * SPAN * SIMILARITY / (1 + SIMILARITY)))
 UNIT_BYTES, BLOCK_BYTES, BUCKET_BYTES, HELD, MANY, NO_ID = 16 << 20, 2 << 20, 40 << 20, 20_000, 64, -(2**63)
 #: Windows of a key in a unit's texts from which they go by units; buckets that a task sends to; keys that are broadcast.
 LOCAL, FAN, MOST_KEYS = 512, 1024, 1_000_000
-M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+M1, M2, NEVER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(2**64 - 1)
 SENT = "bucket int, unit long, doc_id long, text_hash long, words long, keys binary, docs binary, at binary"
 PACKETS = "bucket int, unit long, keys binary, docs binary, at binary"
 
@@ -78,13 +81,34 @@ def sliding_least(x: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (span - have)], x[span - have :]) if have < span else x
 
 
+def eligible_in(h: np.ndarray, span: int) -> np.ndarray:
+    """Whether a shingle takes part: at its first place, and where the last one that does is ``span`` positions before."""
+    order = np.argsort(h, kind="stable")
+    near = np.flatnonzero((h[order][1:] == h[order][:-1]) & (np.diff(order) < span)) + 1
+    out, before, last = np.ones(len(h), bool), -1, 0
+    for k, at, to in zip(near.tolist(), order[near].tolist(), order[near - 1].tolist(), strict=True):
+        if k - 1 != before:
+            last = to
+        if at - last < span:
+            out[at] = False
+        else:
+            last = at
+        before = k
+    return out
+
+
 def compact_windows(x: np.ndarray, span: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of each Cartesian tree node at least ``span`` wide; x: hashes, the first of equal ones is less."""
+    """(l, c, r) of each Cartesian tree node at least ``span`` wide; x: hashes, the first of equal ones is less.
+
+    The greatest hash stands for places that can't be a minimum: they are in windows but have none of their own.
+    """
     n = len(x)
     if n < span:
         return []
     least = sliding_least(x, span)
-    places = np.flatnonzero(x <= np.max(least))
+    places = np.flatnonzero((x <= np.max(least)) & (x < NEVER))
+    if not len(places):
+        return []
     # the minimum of some window: compare with the windows' minima around each place
     lo, hi = np.maximum(places - span + 1, 0), np.minimum(places, len(least) - 1)
     top = np.concatenate([least, np.zeros(1, x.dtype)])
@@ -112,12 +136,15 @@ def window_places(h: np.ndarray, span: int = SPAN, functions: int = FUNCTIONS) -
     """Places of the compact windows of all hash functions."""
     if len(h) < span:
         return np.zeros(0, "i8")
-    found = []
+    eligible, found = eligible_in(h, span), []
     for k in range(functions):
         x = (h ^ np.uint64(0x632BE59BD9B4E019 * (k + 1) & (2**64 - 1))) * M2
         x ^= x >> np.uint64(31)
-        found.append(np.array([c for _, c, _ in compact_windows(x * M1, span)], "i8"))
-    return np.unique(np.concatenate(found))
+        x *= M1
+        x[~eligible] = NEVER
+        found.append(np.array([c for _, c, _ in compact_windows(x, span)], "i8"))
+    places = np.unique(np.concatenate(found))
+    return places[eligible[places]]
 
 
 def text_hash(text: str) -> int:
@@ -381,7 +408,8 @@ def shifted_links(around: np.ndarray, rows: np.ndarray, known: list[np.ndarray])
                 a = np.searchsorted(ends, c, side="right")
                 b = owner[lo[a] + c - (ends[a] - n[a])]
                 other = label[a] != label[b]
-                a, b = np.unique(np.column_stack([a[other], b[other]]), axis=0).T
+                code = np.unique(a[other] * len(rows) + b[other])
+                a, b = code // len(rows), code % len(rows)
                 for at in range(0, len(a), 4096):
                     x, y = a[at : at + 4096], b[at : at + 4096]
                     ok, first, last = agreeing(around[rows[x]], around[rows[y]])
