@@ -40,7 +40,7 @@ def of_frames(spark: SparkSession, tables: dict[str, DataFrame], nspname: str =
     """The relations s_table and s_attr of Spark tables: schemas are known, sizes are Catalyst's estimates."""
     t, a = [], []
     for k, (name, df) in enumerate(tables.items()):
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # a number or a big one
         t.append((first_oid + k, datname, nspname, name, "heap", "r", "p", size, None))
         primary = (keys or {}).get(name, [])
         a += [(first_oid + k, nspname, name, n, f.name, f.dataType.simpleString(), f.name in primary, False, "") for n, f in enumerate(df.schema.fields, 1)]

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeshift.operators import catalog, depends, filters, progress
-from lakeshift.plans.data_queries import _NAMES, attribute_rows
-from lakeshift.plans.frames import table
+from lakeshift.plans.frames import STAR, table
 from lakeshift.plans.registry import query
 from lakeshift.sources.rules import parse_rules
 
@@ -210,9 +209,11 @@ def key_candidate_topk(spark, sf_dir) -> DataFrame:
     return catalog.split_key(i)
 
 
-@query(f"WITH a(relname, attnum, attname, typname) AS (VALUES {_NAMES}) SELECT relname AS oid, string_agg(attname, ', ' ORDER BY attnum) FILTER (WHERE typname <> 't') AS attrs FROM a GROUP BY relname")
+@query("SELECT table_name AS relname, string_agg(column_name, ', ' ORDER BY ordinal_position) FILTER (WHERE data_type NOT LIKE 'TIMESTAMP%') AS attrs FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem') GROUP BY table_name")
 def table_attributes(spark, sf_dir) -> DataFrame:
-    return catalog.attribute_lists(attribute_rows(spark).select(F.col("relname").alias("oid"), "attnum", "attname", (F.col("typname") == "t").alias("attisgenerated")))
+    """By the tables' own schemas; times stand for generated columns."""
+    attrs = catalog.of_frames(spark, {t: table(spark, sf_dir, t) for t in STAR})["s_attr"]
+    return catalog.attribute_lists(attrs.select(F.col("relname").alias("oid"), "attnum", "attname", F.col("typname").startswith("timestamp").alias("attisgenerated"))).withColumnRenamed("oid", "relname")
 
 
 @query("SELECT c_custkey AS oid FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) = 0 AND count(o_orderkey) > 0")
@@ -341,10 +342,10 @@ def table_report(spark, sf_dir) -> DataFrame:
     return progress.table_report(t, li, li, c).select("oid", "bytes", "partcount", "duration_ms", "bytes_sent", "checksum")
 
 
-@query("SELECT CAST(m AS INT) AS mask, CAST((m & 1) * 4 + ((m >> 1) & 1) * 3 + ((m >> 2) & 1) * 2 + ((m >> 3) & 1) * 5 AS INT) AS concurrency FROM (SELECT unnest(generate_series(0, 15)) AS m)")
+@query("SELECT c_custkey AS k, CAST(m AS INT) AS mask, CAST((m & 1) * 4 + ((m >> 1) & 1) * 3 + ((m >> 2) & 1) * 2 + ((m >> 3) & 1) * 5 AS INT) AS concurrency FROM (SELECT c_custkey, c_custkey % 16 AS m FROM customer)")
 def job_mask_concurrency(spark, sf_dir) -> DataFrame:
-    m = spark.range(16).select(F.col("id").cast("int").alias("mask"))
-    return m.select("mask", progress.concurrency(F.col("mask"), {"copy": 4, "index": 3, "vacuum": 2, "large_objects": 5}).cast("int").alias("concurrency"))
+    m = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") % 16).cast("int").alias("mask"))
+    return m.select("k", "mask", progress.concurrency(F.col("mask"), {"copy": 4, "index": 3, "vacuum": 2, "large_objects": 5}).cast("int").alias("concurrency"))
 
 
 @query("""SELECT i.s_suppkey AS oid, CASE WHEN s_nationkey % 3 = 0 THEN 'ALTER TABLE t ADD CONSTRAINT ' || s_name || ' PRIMARY KEY USING INDEX ' || s_name || CASE WHEN s_acctbal > 0 THEN ' DEFERRABLE' ELSE '' END

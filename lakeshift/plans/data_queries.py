@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakeshift.functions.checksum import table_checksum
 from lakeshift.operators import compare, split
-from lakeshift.operators.catalog import unique_columns
+from lakeshift.operators.catalog import of_frames, unique_columns
 from lakeshift.plans.frames import STAR, spread, table
 from lakeshift.plans.registry import query
 
@@ -102,16 +102,8 @@ def compare_data_small_changes(spark, sf_dir) -> DataFrame:
     return compare.compare_data({n: side(a) for n, (a, _) in _ODD_SIDES.items()}, {n: side(b) for n, (_, b) in _ODD_SIDES.items()}, portable=True)
 
 
-_NAMES = ", ".join(f"('{t}', {k}, '{c.split(':')[0]}', '{c.split(':')[1]}')" for t, cs in COLUMNS.items() for k, c in enumerate(cs.split(), 1))
-
-
-def attribute_rows(spark) -> DataFrame:
-    rows = [("public", t, k, *c.split(":")) for t, cs in COLUMNS.items() for k, c in enumerate(cs.split(), 1)]
-    return spark.createDataFrame(rows, "nspname string, relname string, attnum int, attname string, typname string")
-
-
-@query(f"""
-WITH a(relname, attnum, attname, typname) AS (VALUES {_NAMES}),
+@query("""
+WITH a AS (SELECT table_name AS relname, column_name AS attname, data_type AS typname FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem')),
 b AS (SELECT relname, attname, CASE WHEN attname = 'c_acctbal' THEN 'x' ELSE typname END AS typname FROM a WHERE attname NOT IN ('o_orderdate', 'p_size') AND relname <> 'region'),
 ca AS (SELECT relname, count(*) AS n FROM a GROUP BY relname), cb AS (SELECT relname, count(*) AS n FROM b GROUP BY relname)
 SELECT 'table' AS kind, 'public.' || relname AS object, 'missing' AS difference FROM ca WHERE relname NOT IN (SELECT relname FROM cb)
@@ -121,10 +113,12 @@ FROM a LEFT JOIN b ON a.relname = b.relname AND a.attname = b.attname WHERE b.at
 UNION ALL
 SELECT 'columns', 'public.' || ca.relname, ca.n || ' <> ' || coalesce(cb.n, 0) FROM ca LEFT JOIN cb ON ca.relname = cb.relname WHERE ca.n <> coalesce(cb.n, 0)""")
 def compare_schema_columns(spark, sf_dir) -> DataFrame:
-    a = attribute_rows(spark)
-    b = a.where("attname NOT IN ('o_orderdate', 'p_size') AND relname <> 'region'").withColumn("typname", F.when(F.col("attname") == "c_acctbal", "x").otherwise(F.col("typname")))
-    tables = lambda x: x.select("nspname", "relname").distinct()
-    return compare.compare_schemas({"s_table": tables(a), "s_attr": a}, {"s_table": tables(b), "s_attr": b})
+    """The tables' own schemas against tables without one of them and some columns, and with another type."""
+    tables = {t: table(spark, sf_dir, t) for t in STAR}
+    changed = {t: df.drop("o_orderdate", "p_size") for t, df in tables.items() if t != "region"}
+    changed["customer"] = changed["customer"].withColumn("c_acctbal", F.col("c_acctbal").cast("string"))
+    of = lambda x: {"s_table": x["s_table"].select("nspname", "relname"), "s_attr": x["s_attr"]}
+    return compare.compare_schemas(of(of_frames(spark, tables)), of(of_frames(spark, changed)))
 
 
 @query("""

@@ -92,9 +92,11 @@ def parse_bytes(spark, sf_dir) -> DataFrame:
 _BOOLS = ["true", "T", "fal", "YES", "n", "on", "of", "o", "1", "0", "maybe", " off "]
 
 
-@query("SELECT * FROM (VALUES ('true', true), ('T', true), ('fal', false), ('YES', true), ('n', false), ('on', true), ('of', false), ('o', NULL), ('1', true), ('0', false), ('maybe', NULL), (' off ', false)) t(word, value)")
+@query("""SELECT c_custkey AS k, ['true', 'T', 'fal', 'YES', 'n', 'on', 'of', 'o', '1', '0', 'maybe', ' off '][c_custkey % 12 + 1] AS word,
+  [true, true, false, true, false, true, false, NULL, true, false, NULL, false][c_custkey % 12 + 1] AS value FROM customer""")
 def parse_bool(spark, sf_dir) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in _BOOLS], "word string").withColumn("value", text.parse_bool(F.col("word")))
+    word = F.get(F.array(*map(F.lit, _BOOLS)), (F.col("c_custkey") % 12).cast("int"))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), word.alias("word")).withColumn("value", text.parse_bool(F.col("word")))
 
 
 @query("SELECT o_orderkey AS k, CASE WHEN v IS NULL THEN 'NULL' WHEN v % 1 = 0 THEN CAST(CAST(v AS BIGINT) AS VARCHAR) ELSE rtrim(printf('%.17f', v), '0') END AS number, CASE WHEN b IS NULL THEN 'NULL' WHEN b THEN 't' ELSE 'f' END AS flag FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_orderkey * 1.0 WHEN 1 THEN o_orderkey / 8.0 WHEN 2 THEN o_orderkey / -1024.0 END AS v, CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS b FROM orders)")
@@ -123,10 +125,13 @@ def paired_unnest(spark, sf_dir) -> DataFrame:
     return x.select("n_nationkey", (F.col("pos") + 1).alias("pos"), F.concat_ws(".", "p.a", "p.b").alias("name"))
 
 
-@query("""SELECT * FROM (VALUES ('postgres://u:****@h/db'), ('postgres://u@h/db'), ('host=h password=**** user=u'), ('host=h PASSWORD=**** x=1')) t(uri)""")
+@query("""SELECT c_custkey AS k, CASE c_custkey % 4 WHEN 0 THEN 'postgres://u' || CAST(c_custkey AS VARCHAR) || ':****@h/db' WHEN 1 THEN 'postgres://u@h' || CAST(c_custkey AS VARCHAR) || '/db'
+  WHEN 2 THEN 'host=h password=**** user=u' || CAST(c_custkey AS VARCHAR) ELSE 'host=h PASSWORD=**** x=1' END AS uri FROM customer""")
 def scrub_passwords(spark, sf_dir) -> DataFrame:
-    rows = ["postgres://u:sec:ret@h/db", "postgres://u@h/db", "host=h password=s3cret user=u", "host=h PASSWORD='a b' x=1"]
-    return spark.createDataFrame([(r,) for r in rows], "uri string").select(text.scrubbed(F.col("uri")).alias("uri"))
+    k, c = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    uri = F.when(k % 4 == 0, F.concat(F.lit("postgres://u"), c, F.lit(":sec:ret"), c, F.lit("@h/db"))).when(k % 4 == 1, F.concat(F.lit("postgres://u@h"), c, F.lit("/db")))
+    uri = uri.when(k % 4 == 2, F.concat(F.lit("host=h password=s3"), c, F.lit(" user=u"), c)).otherwise(F.concat(F.lit("host=h PASSWORD='a "), c, F.lit("' x=1")))
+    return table(spark, sf_dir, "customer").select(k.alias("k"), text.scrubbed(uri).alias("uri"))
 
 
 @query("SELECT c_custkey AS k, 'Customer%23' || substr(c_name, 10) || '%20%2F' AS uri FROM customer")

@@ -178,3 +178,34 @@ def test_sequences(spark):
     s = spark.createDataFrame([("a", 5, False), ("b", 9, True), ("c", 1, False)], "relname string, last_value long, is_called boolean")
     got = {r.relname: (r.last_value, r.is_called) for r in copy.sequences_reset(s, {"a": 7, "b": 3}).collect()}
     assert got == {"a": (7, True), "b": (9, True), "c": (1, False)}
+
+
+def test_store_goes_on_where_it_was_left(spark, tmp_path):
+    from lakeshift.operators.store import Store
+
+    rows = spark.createDataFrame([(k, "a", k * 10) for k in range(6)], "oid int, name string, bytes int")
+    Store(spark, str(tmp_path)).add("s_table", rows)
+    s = Store(spark, str(tmp_path))  # another run
+    s.change("s_table", spark.createDataFrame([(1, 7)], "oid int, bytes int"))
+    s.remove("s_table", spark.createDataFrame([(2,)], "oid int"))
+    s.add_new("s_table", spark.createDataFrame([(2, "b", 1), (3, "b", 1)], "oid int, name string, bytes int"))
+    got = {r.oid: (r.name, r.bytes) for r in s.state("s_table").collect()}
+    assert got == {0: ("a", 0), 1: ("a", 7), 2: ("b", 1), 3: ("a", 30), 4: ("a", 40), 5: ("a", 50)}
+    (tmp_path / "s_table" / "batch=4").mkdir()  # a batch that was broken off
+    assert s.state("s_table").count() == 6
+    s.remove("s_table")
+    assert s.state("s_table").count() == 0 and s.state("s_index") is None
+    s.add("s_table", rows.limit(1))
+    assert s.catalog().lookup("s_table", oid=0).count() == 1
+
+
+def test_clones_go_on(spark, tmp_path):
+    from lakeshift.operators.store import clone_databases
+
+    t = spark.range(20).withColumnRenamed("id", "k")
+    seqs = {"a": (spark.createDataFrame([("s", 3, False)], "relname string, last_value long, is_called boolean"), {"s": 19})}
+    got = clone_databases(spark, {"a": {"t": t}, "b": {"t": t, "u": t.limit(0)}}, str(tmp_path), seqs)
+    assert {(r.datname, r.table_name, r.status) for r in got.collect()} == {("a", "t", "ok"), ("b", "t", "ok"), ("b", "u", "ok")}
+    assert spark.read.parquet(str(tmp_path / "a" / "_sequences")).first().last_value == 19
+    again = clone_databases(spark, {"a": {"t": t}}, str(tmp_path), resume=True)
+    assert again.first().status == "ok"
