@@ -354,8 +354,10 @@ def stream_cdc_apply(spark, sf_dir) -> DataFrame:
     """The state that a stream of the log in several files leaves, applied batch by batch."""
     path = shared_path(spark, "stream")
     x = log(spark, sf_dir).withColumn("u", F.col("cents") % 2 != 0)
-    x.repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(f"{path}/log")
-    stream = spark.readStream.schema(x.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/log")
+    x.repartitionByRange(6, "id").sortWithinPartitions("id").write.parquet(f"{path}/whole")
+    whole = spark.read.schema(x.schema).parquet(f"{path}/whole")
+    lo, hi = whole.agg(F.coalesce(F.min("id"), F.lit(0)), F.coalesce(F.max("id"), F.lit(0))).first()
+    step = (hi - lo) // 3 + 1
     applier = Applier(spark, f"{path}/state", ["user_id"], ["cents", "props"], {"props": F.col("u")}, buckets=8)
-    applier.run(stream, f"{path}/checkpoint").awaitTermination()
+    applier.run_segments((whole.where((F.col("id") >= a) & (F.col("id") < a + step)) for a in range(lo, lo + 3 * step, step)), f"{path}/log", f"{path}/checkpoint")
     return applier.state()

@@ -7,11 +7,16 @@ nothing; with another checkpoint, or none, positions decide: transactions that e
 are passed over, and messages that come again count once. So results are exactly once however often a stream is begun
 anew. What a batch costs depends on the buckets that it touches, not on the whole state. Versions that neither of the
 last two notes needs are removed.
+
+As positions decide, batches must come in the order of the log (within a batch, order doesn't matter). A stream of files
+takes them by their times of modification: files that tasks write side by side have those of their last bytes, in any
+order. ``run_segments`` appends one segment of the log after another, and applies each before the next is there.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,3 +127,12 @@ class Applier:
         self.checkpoint = checkpoint
         writer = stream.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
         return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")).start()
+
+    def run_segments(self, segments: Iterable[DataFrame], log: str, checkpoint: str) -> None:
+        """Appends each segment of a log, in its order, to the folder ``log`` and applies it as one batch of the folder's stream.
+
+        A segment may take several files.
+        """
+        for segment in segments:
+            segment.write.mode("append").parquet(log)
+            self.run(self.spark.readStream.schema(segment.schema).parquet(log), checkpoint).awaitTermination()

@@ -285,3 +285,20 @@ def test_any_log_gives_what_its_changes_give_one_by_one(spark, tmp_path, seed):
     files = [messages[: cut[0]], messages[cut[0] : cut[1]], messages[cut[1] :] + rng.sample(messages, 3)]  # some come twice
     a = applied(spark, tmp_path, [f for f in files if f])
     assert rows_of(a) == sorted(state.items())
+
+
+def test_the_stream_query_keeps_the_order_of_the_log(spark, tmp_path):
+    """The log's first file takes the longest to write, so that it is the newest."""
+    import random
+
+    from lakeshift.plans.cdc_queries import cdc_apply_state, stream_cdc_apply
+
+    rng = random.Random(0)
+    kinds = ["signup", "view", "error", "click"]
+    rows = [(k, k // 5, rng.choice(kinds), k / 100, f"{k}:{rng.randbytes(300_000).hex()}" if k < 80 else str(k)) for k in range(600)]
+    schema = "event_id long, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "none" / "events.parquet"))
+    got, want = (sorted(map(tuple, q(spark, str(tmp_path)).collect())) for q in (stream_cdc_apply, cdc_apply_state))
+    assert got == want and len(want) > 5
+    assert stream_cdc_apply(spark, str(tmp_path / "none")).count() == 0
