@@ -16,8 +16,8 @@ byte for each shingle up to ``span`` - 1 to both sides; windows of a text with e
 places. (4) Windows of one key are compared: two are linked if some ``span`` shingles around c have a Jaccard
 similarity of 0.8 at least (41 of 46 shared; words may be missing or new: places may shift by up to two). Links are a
 spanning forest for each key, breadth-first from each window that isn't reached, so that no group becomes all its pairs.
-In large groups only windows that share bytes far from the middle, shifted or not, are compared: all that can agree
-share some. Keys with more windows than a task should hold are dealt to salts, and each two salts are compared in a
+In large groups only windows that share bytes to one side of the middle, shifted or not, are compared: all that can agree
+share some, and those that tell windows apart best are taken. Keys with more windows than a task should hold are dealt to salts, and each two salts are compared in a
 task, so that all windows of a key meet (agreement isn't transitive: no window can stand for those like it). What a
 window shares exactly with any other of its key, and not only with its neighbours in the forest, is found by hashes of
 its stretches and widens its span. (5) Links between texts and exact copies give the documents' classes.
@@ -50,6 +50,11 @@ ENOUGH = int(np.ceil(2 * SPAN * SIMILARITY / (1 + SIMILARITY)))
 UNIT_BYTES, BLOCK_BYTES, BUCKET_BYTES, HELD, MANY, NO_ID = 16 << 20, 2 << 20, 40 << 20, 20_000, 64, -(2**63)
 #: Windows of a key in a unit's texts from which they go by units; buckets that a task sends to; keys that are broadcast.
 LOCAL, FAN, MOST_KEYS = 512, 1024, 1_000_000
+#: Pairs of neighbours to one side of a window, and how many of them are whole where windows agree.
+PAIRS = SPAN // 4
+NEEDED = PAIRS - (SPAN - ENOUGH)
+#: Candidates, and pairs that are compared, at once; pairs of a group from which it is divided further; neighbours of a row.
+CANDIDATES, COMPARED, CROWD, NEXT = 1 << 16, 1 << 12, 1 << 17, 8
 M1, M2, NEVER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(2**64 - 1)
 SENT = "bucket int, unit long, doc_id long, text_hash long, words long, keys binary, docs binary, at binary"
 PACKETS = "bucket int, unit long, keys binary, docs binary, at binary"
@@ -299,12 +304,28 @@ def agreeing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     The ends are those of the widest stretch, without shingles that differ if it stays long enough.
     """
     width = 2 * SPAN - 1
-    same = a == b
+    held = np.zeros((max(len(a), len(b)), -(-width // 8) * 8), "u1")
+    same = held[:, :width].view(bool)
+    np.equal(a, b, out=same)
     for s in range(1, SHIFT + 1):
         same[:, s:] |= a[:, s:] == b[:, : width - s]
         same[:, : width - s] |= a[:, : width - s] == b[:, s:]
+    # most pairs haven't enough shingles in all: eight bytes are added up at once, then the sums' bytes
+    enough = held.view("u8").sum(axis=1) * np.uint64(0x0101010101010101) >> np.uint64(56) >= ENOUGH
+    if not enough.all():
+        ok, ends = np.zeros(len(held), bool), np.zeros((2, len(held)), "i8")
+        if enough.any():
+            few = lambda x: x[enough] if len(x) == len(held) else x
+            ok[enough], ends[0, enough], ends[1, enough] = stretches(few(a), few(b), same[enough])
+        return ok, ends[0], ends[1]
+    return stretches(a, b, same)
+
+
+def stretches(a: np.ndarray, b: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What agreeing() returns, for rows whose bytes are the same at these places."""
+    width = 2 * SPAN - 1
     beyond = (a == 0) | (b == 0)
-    same[beyond] = False
+    same = same & ~beyond
     # a place beyond either text spoils the stretch
     total = np.zeros((len(same), width + 1), "i2")
     np.cumsum(np.where(beyond, -SPAN, same.view("i1")), axis=1, dtype="i2", out=total[:, 1:])
@@ -322,103 +343,181 @@ def agreeing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return ok, ends[0], ends[1]
 
 
-def near_in(around: np.ndarray, rows: np.ndarray, reached: np.ndarray) -> list[np.ndarray]:
-    """Links among rows, some of which (reached, flags by row) are linked with each other already, that connect all that agree."""
-    pairs = []
-    front, open_ = rows[reached[rows]], rows[~reached[rows]]
+def either_way(around: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """agreeing() of rows x and y or else of y and x: where places shift, these may differ by a shingle."""
+    ok, first, last = agreeing(around[x], around[y])
+    if not ok.all():
+        rest = np.flatnonzero(~ok)
+        ok[rest], first[rest], last[rest] = agreeing(around[y[rest]], around[x[rest]])
+    return ok, first, last
+
+
+class Labels:
+    """The component of each row by the links so far."""
+
+    def __init__(self, of: np.ndarray):
+        self.of, self.same = of, np.arange(len(of))
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins the components of each pair of rows."""
+        up: dict = {}
+
+        def top(k: int) -> int:
+            while (u := up.get(k, k)) != k:
+                up[k] = k = up.get(u, u)
+            return k
+
+        for x, y in zip(self.of[a].tolist(), self.of[b].tolist(), strict=True):
+            x, y = top(x), top(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+        if up:
+            old = list(up)
+            self.same[old] = [top(k) for k in old]
+            self.of = self.same[self.of]
+            self.same[old] = old
+
+
+def compared(around: np.ndarray, one: np.ndarray, many: np.ndarray, begin: np.ndarray, n: np.ndarray, labels: Labels) -> Iterator[np.ndarray]:
+    """Links (a, b, first, last) between each row of ``one`` and n rows of ``many`` from ``begin`` on, where these aren't in one component yet."""
+    ends = np.cumsum(n)
+    cuts = np.searchsorted(ends, np.arange(0, int(ends[-1]) if len(ends) else 0, CANDIDATES), side="right").tolist()
+    for i, j in zip(cuts, [*cuts, len(n)][1:], strict=True):
+        some = n[i:j]
+        k = np.repeat(np.arange(i, j), some)
+        a, b = one[k], many[np.arange(len(k)) + np.repeat(begin[i:j] - (np.cumsum(some) - some), some)]
+        apart = labels.of[a] != labels.of[b]
+        a, b = a[apart], b[apart]
+        for at in range(0, len(a), COMPARED):
+            x, y = a[at : at + COMPARED], b[at : at + COMPARED]
+            if at:
+                apart = labels.of[x] != labels.of[y]
+                x, y = x[apart], y[apart]
+            ok, first, last = either_way(around, x, y)
+            if ok.any():
+                found = np.column_stack([x, y, first, last])[ok]
+                labels.join(found[:, 0], found[:, 1])
+                yield found
 
-    def link(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-        ok, lo, hi = agreeing(around[one][None, :], around[many])
-        pairs.append(np.column_stack([np.full(int(ok.sum()), one), many[ok], lo[ok], hi[ok]]))
-        return ok
 
-    if len(open_) <= len(front):  # few rows seek one of many that are linked
-        stack = []
-        for o in open_.tolist():
-            ok, lo, hi = agreeing(around[front], around[o][None, :])
-            if ok.any():
-                k = int(ok.argmax())
-                pairs.append(np.array([[front[k], o, lo[k], hi[k]]]))
-                stack.append(o)
-    else:
-        stack = front.tolist()
-    found = set(stack)
-    open_ = np.array([o for o in open_.tolist() if o not in found], "i8")
-    while len(open_):
-        if not stack:
-            stack, open_ = [int(open_[0])], open_[1:]
-        ok = link(np.int64(stack.pop()), open_)
-        stack += open_[ok].tolist()
-        open_ = open_[~ok]
-    return pairs
-
-
-def far_groups(around: np.ndarray, rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Groups of rows in which all rows meet that can agree without a shift, smaller than all of them.
-
-    A stretch of SPAN shingles around the middle reaches SPAN / 2 to one side at least. Of its far half there, in six
-    pairs of neighbours, the five shingles that may differ leave one pair whole: rows meet by equal pairs. Windows that
-    have only a common line around the middle don't.
+def connected(around: np.ndarray, rows: np.ndarray, group: np.ndarray, labels: Labels) -> Iterator[np.ndarray]:
+    """Links among rows of each group (rows are sorted by it) that connect all that agree.
+
+    Each row meets those after it that aren't in its component yet; the rows that do so at once, in all groups, double,
+    as the first ones join most of what is alike.
     """
-    for side in (1, -1):
-        for k in range(6):
-            at = SPAN - 1 + side * np.array([SPAN // 4 + 1 + 2 * k, SPAN // 4 + 2 + 2 * k])
-            own = around[rows][:, at].astype("u2")
-            value = own[:, 0] << 8 | own[:, 1]
-            order = np.argsort(value, kind="stable")
-            edges = np.flatnonzero(np.diff(value[order])) + 1
-            for group in np.split(order, edges):
-                if len(group) > 1 and own[group[0]].all():
-                    yield rows[group]
-
-
-def shifted_links(around: np.ndarray, rows: np.ndarray, known: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """Links among rows that ``known`` ones don't connect yet and that only agree with places shifted.
-
-    As in far_groups, one pair of neighbours is whole; each of its two bytes may be found up to SHIFT places away, so
-    that a row's pair meets all 25 such pairs of the others. Rows of equal bytes are linked already: one stands for all.
+    at, step = 0, 1
+    while len(rows):
+        start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        size, own = np.diff(np.append(start, len(rows))), labels.of[rows]
+        open_ = np.logical_or.reduceat(own != np.repeat(own[start], size), start) & (size > at + 1)
+        keep = np.repeat(open_, size)
+        rows, group, size = rows[keep], group[keep], size[open_]
+        if not len(rows):
+            return
+        end, n = np.cumsum(size), np.minimum(step, size - at)
+        place = np.repeat(end - size + at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        yield from compared(around, rows[place], rows, place + 1, np.repeat(end, n) - place - 1, labels)
+        at, step = at + step, 2 * step
+
+
+def far_pair(around: np.ndarray, rows: np.ndarray, side: int, k: int, s: int = 0, t: int = 0) -> np.ndarray:
+    """The k-th pair of neighbours to one side of the middle as a number, its shingles s and t places away."""
+    at = SPAN - 1 + side * (2 + 2 * k)
+    return around[rows, at + s].astype("u2") << 8 | around[rows, at + side + t]
+
+
+def grouped(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of values, where equal ones start there, and how many they are."""
+    order = np.argsort(value, kind="stable")
+    start = np.flatnonzero(np.concatenate([[True], np.diff(value[order]) != 0])) if len(value) else np.zeros(0, "i8")
+    return order, start, np.diff(np.append(start, len(value)))
+
+
+def met(around: np.ndarray, rows: np.ndarray, side: int, labels: Labels, used: tuple[int, ...] = ()) -> Iterator[np.ndarray]:
+    """Links among rows that connect all that agree on a stretch reaching to this side and without a shift.
+
+    A stretch of SPAN shingles around the middle reaches SPAN / 2 to one side at least. Of eleven pairs of neighbours
+    there, the five shingles that may differ leave six whole, so that rows which agree have one in common of any six:
+    the six with the smallest groups are taken. A group that is large still is divided by the other pairs in the same way
+    (used: pairs that all rows share), as long as this saves half of the comparisons at least.
     """
-    up = {k: k for k in rows.tolist()}
-
-    def top(k: int) -> int:
-        while up[k] != k:
-            up[k] = k = up[up[k]]
-        return k
-
-    for p in known:
-        for a, b in p[:, :2].tolist():
-            up[top(a)] = top(b)
-    rows = rows[np.unique(around[rows], axis=0, return_index=True)[1]]
-    label = np.array([top(k) for k in rows.tolist()], "i8")
-    moves = range(-SHIFT, SHIFT + 1)
+    by = {k: grouped(far_pair(around, rows, side, k)) for k in range(PAIRS) if k not in used}
+    best = sorted(by, key=lambda k: (int((by[k][2] ** 2).sum()), -k))[:NEEDED]
+    if sum(int((by[k][2] ** 2).sum()) for k in best) * 2 > len(rows) ** 2:
+        yield from connected(around, rows, np.zeros(len(rows), "i8"), labels)
+        return
+    for k in best:
+        order, start, size = by[k]
+        large = np.zeros(len(start), bool)
+        if len(used) < NEEDED - 1:
+            for g in np.flatnonzero(size**2 > 2 * CROWD).tolist():
+                some = rows[order[start[g] : start[g] + size[g]]]
+                counts = np.unique(labels.of[some], return_counts=True)[1]
+                if size[g] ** 2 - (counts**2).sum() > 2 * CROWD:
+                    large[g] = True
+                    yield from met(around, np.sort(some), side, labels, (*used, k))
+        keep = np.repeat((size > 1) & ~large, size)
+        yield from connected(around, rows[order[keep]], np.repeat(np.arange(len(start)), size)[keep], labels)
+
+
+def reaching(around: np.ndarray, rows: np.ndarray, side: int) -> np.ndarray:
+    """Rows whose text goes SPAN / 2 shingles to this side of the middle."""
+    return rows[around[rows, SPAN - 1 + side * (SPAN // 2)] > 0]
+
+
+def shifted(around: np.ndarray, rows: np.ndarray, side: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Rows, and for six pairs of neighbours others, where those begin that a row may agree with if places shift, and how many they are.
+
+    As in met(), six pairs are whole; each of a pair's two bytes may be found up to SHIFT places away, so that a row's
+    pair meets all 25 such pairs of the others. The outer six are taken, or those with the fewest candidates if these
+    have many.
+    """
+    seekers, moves = reaching(around, rows, side), range(-SHIFT, SHIFT + 1)
+
+    def candidates(k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        value = np.concatenate([far_pair(around, rows, side, k, s, t) for s in moves for t in moves if s or t])
+        order = np.argsort(value, kind="stable")
+        own, value = far_pair(around, seekers, side, k), value[order]
+        lo = np.searchsorted(value, own)
+        return np.tile(rows, (2 * SHIFT + 1) ** 2 - 1)[order], lo, np.searchsorted(value, own, side="right") - lo
+
+    found = [candidates(k) for k in range(PAIRS - NEEDED, PAIRS)]
+    if any(int(n.sum()) > 64 * len(rows) for _, _, n in found):
+        found += [candidates(k) for k in range(PAIRS - NEEDED)]
+        found = sorted(found, key=lambda x: int(x[2].sum()))[:NEEDED]
+    return seekers, found
+
+
+def frequent(around: np.ndarray, rows: np.ndarray, labels: Labels) -> Iterator[np.ndarray]:
+    """Links among many rows of a key that connect all that agree. Of rows of equal bytes one stands for all.
+
+    As few links connect large components, rows are also linked with NEXT others that are most like them to either side,
+    so that their spans are wide.
+    """
+    _, first, equal = np.unique(around[rows], axis=0, return_index=True, return_inverse=True)
+    order = np.argsort(equal.reshape(-1), kind="stable")
+    yield from connected(around, rows[order], equal.reshape(-1)[order], labels)
+    rows = rows[np.sort(first)]
+    apart = {side: shifted(around, rows, side) for side in (1, -1)}
+    if sum(int(n.sum()) for _, found in apart.values() for _, _, n in found) > len(rows) ** 2 // 2:  # as in texts of few words
+        yield from connected(around, rows, np.zeros(len(rows), "i8"), labels)
+    else:
+        for side in (1, -1):
+            yield from met(around, reaching(around, rows, side), side, labels)
+        for seekers, found in apart.values():
+            for others, begin, n in found:
+                yield from compared(around, seekers, others, begin, n, labels)
     for side in (1, -1):
-        for k in range(6):
-            i, j = SPAN - 1 + side * (SPAN // 4 + 1 + 2 * k), SPAN - 1 + side * (SPAN // 4 + 2 + 2 * k)
-            pair = lambda s, t: around[rows, i + s].astype("u2") << 8 | around[rows, j + t]  # noqa: B023, E731
-            value = np.concatenate([pair(s, t) for s in moves for t in moves if s or t])
-            order = np.argsort(value, kind="stable")
-            owner, value = np.tile(np.arange(len(rows)), (2 * SHIFT + 1) ** 2 - 1)[order], value[order]
-            own = pair(0, 0)
-            whole = (around[rows, i] > 0) & (around[rows, j] > 0)
-            lo = np.searchsorted(value, own)
-            n = np.where(whole, np.searchsorted(value, own, side="right") - lo, 0)
-            ends = np.cumsum(n)
-            for start in range(0, int(ends[-1]), 1 << 16):  # candidates by their number
-                c = np.arange(start, min(start + (1 << 16), int(ends[-1])))
-                a = np.searchsorted(ends, c, side="right")
-                b = owner[lo[a] + c - (ends[a] - n[a])]
-                other = label[a] != label[b]
-                code = np.unique(a[other] * len(rows) + b[other])
-                a, b = code // len(rows), code % len(rows)
-                for at in range(0, len(a), 4096):
-                    x, y = a[at : at + 4096], b[at : at + 4096]
-                    ok, first, last = agreeing(around[rows[x]], around[rows[y]])
-                    if ok.any():
-                        found = np.column_stack([rows[x], rows[y], first, last])[ok]
-                        yield found
-                        for one, two in found[:, :2].tolist():
-                            up[top(one)] = top(two)
-                        label = np.array([top(r) for r in label.tolist()], "i8")
+        rows = rows[np.argsort(np.ascontiguousarray(around[rows, SPAN - 1 :: side]).view(f"S{SPAN}").reshape(-1), kind="stable")]
+        rows = rows[np.argsort(labels.of[rows], kind="stable")]
+        for step in range(1, NEXT + 1):
+            same = labels.of[rows[:-step]] == labels.of[rows[step:]]
+            x, y = rows[:-step][same], rows[step:][same]
+            for at in range(0, len(x), COMPARED):
+                a, b = x[at : at + COMPARED], y[at : at + COMPARED]
+                ok, first, last = either_way(around, a, b)
+                yield np.column_stack([a, b, first, last])[ok]
 
 
 def exact_spans(around: np.ndarray, rows: np.ndarray, key: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -474,22 +573,18 @@ def linked(table: pa.Table) -> pa.Table:
     whole = reached.copy()  # agrees with the first of its key as far as its bytes go
     for k in range(0, len(rest), 4096):  # each window with the first of its key
         some = rest[k : k + 4096]
-        ok, lo, hi = agreeing(around[leader[some]], around[some])
+        ok, lo, hi = either_way(around, leader[some], some)
         pairs.append(np.column_stack([leader[some], some, lo, hi])[ok])
         reached[some[ok]] = True
         whole[some] = ok & (lo == 0) & (hi == 2 * SPAN - 2)
-    left = leader[~reached]
-    for g, n in zip(*np.unique(left, return_counts=True), strict=True):  # keys whose windows aren't all like the first
-        own = np.arange(g, g + sizes[first.searchsorted(g)])
-        if n <= MANY:
-            pairs += near_in(around, own, reached)
-        else:
-            known = [np.column_stack([np.full(len(own), g), own])[reached[own]]]
-            for group in far_groups(around, own):
-                if not reached[group].all():
-                    known += near_in(around, np.sort(group), reached)
-            pairs += known[1:]
-            pairs += shifted_links(around, own, known)
+    # keys whose windows aren't all like the first; that one was compared with all
+    labels = Labels(np.where(reached, leader, np.arange(len(key))))
+    open_ = np.isin(leader, leader[~reached]) & (leader != np.arange(len(key)))
+    many = open_ & (np.repeat(sizes, sizes) > MANY)
+    few = np.flatnonzero(open_ & ~many)
+    pairs += connected(around, few, leader[few], labels)
+    for g in np.unique(leader[many]):
+        pairs += frequent(around, np.arange(g + 1, g + sizes[first.searchsorted(g)]), labels)
     p = np.concatenate(pairs) if pairs else np.zeros((0, 4), "i8")
     p = p[text[p[:, 0]] != text[p[:, 1]]]
     # what each window has of others so far, as one stretch, as all of them hold its middle

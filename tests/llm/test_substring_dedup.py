@@ -211,3 +211,46 @@ def test_group_sizes_on_both_sides_of_the_limit(seed):
         got = {g for g in link_sets(rows) if len(g) > 1 and max(g) <= len(kin)}
         related = got if related is None else related
         assert got == related
+
+
+def runs(rng, n):
+    """Windows in runs of a few shingles, as texts of words that come again and again have them: most pairs share bytes, and few agree."""
+    width, middle = 2 * s.SPAN - 1, s.SPAN - 1
+    out = rng.integers(1, 256, (n, width))
+    for r in out:
+        r[middle - int(rng.integers(0, 14)) : middle + int(rng.integers(24, 27))] = 168
+    return out
+
+
+def test_windows_of_runs_are_compared_a_few_times_at_most(monkeypatch):
+    rng, n, pairs = np.random.default_rng(3), 600, [0]
+    agreeing = s.agreeing
+
+    def counted(a, b):
+        pairs[0] += max(len(a), len(b))
+        return agreeing(a, b)
+
+    monkeypatch.setattr(s, "agreeing", counted)
+    rows = runs(rng, n)
+    got = link_sets(rows)
+    # every two windows once either way round, and some for spans; link_sets() asks twice
+    assert pairs[0] <= 2 * (n * n + 50 * n)
+    for a in range(0, n, 7):
+        ok = agreeing(rows[a].astype("u1")[None, :], rows.astype("u1"))[0]
+        own = next(g for g in got if a in g)
+        assert set(np.flatnonzero(ok).tolist()) <= own
+
+
+def test_the_order_of_windows_does_not_matter():
+    """A pair that only agrees one way round, as where places shift, is linked either way."""
+    rng, width, found = np.random.default_rng(5), 2 * s.SPAN - 1, 0
+    for _ in range(4000):
+        a = rng.integers(1, 256, width)
+        b = np.roll(a, int(rng.choice([-2, -1, 1, 2])))
+        lo, hi = int(rng.integers(10, 42)), int(rng.integers(50, 82))
+        b[:lo], b[hi:] = rng.integers(1, 256, lo), rng.integers(1, 256, width - hi)
+        x, y = a.astype("u1")[None, :], b.astype("u1")[None, :]
+        if s.agreeing(x, y)[0][0] != s.agreeing(y, x)[0][0]:
+            found += 1
+            assert link_sets([a, b]) == link_sets([b, a]) == {frozenset((0, 1))}
+    assert found
