@@ -53,6 +53,8 @@ LOCAL, FAN, MOST_KEYS = 512, 1024, 1_000_000
 #: Pairs of neighbours to one side of a window, and how many of them are whole where windows agree.
 PAIRS = SPAN // 4
 NEEDED = PAIRS - (SPAN - ENOUGH)
+#: Bytes of a window when it is compared, with zeros at the end: a multiple of eight, SHIFT more than it has at least.
+WIDE = -(-(2 * SPAN - 1 + SHIFT) // 8) * 8
 #: Candidates, and pairs that are compared, at once; pairs of a group from which it is divided further; neighbours of a row.
 CANDIDATES, COMPARED, CROWD, NEXT = 1 << 16, 1 << 12, 1 << 17, 8
 M1, M2, NEVER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(2**64 - 1)
@@ -304,28 +306,12 @@ def agreeing(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     The ends are those of the widest stretch, without shingles that differ if it stays long enough.
     """
     width = 2 * SPAN - 1
-    held = np.zeros((max(len(a), len(b)), -(-width // 8) * 8), "u1")
-    same = held[:, :width].view(bool)
-    np.equal(a, b, out=same)
+    same = a == b
     for s in range(1, SHIFT + 1):
         same[:, s:] |= a[:, s:] == b[:, : width - s]
         same[:, : width - s] |= a[:, : width - s] == b[:, s:]
-    # most pairs haven't enough shingles in all: eight bytes are added up at once, then the sums' bytes
-    enough = held.view("u8").sum(axis=1) * np.uint64(0x0101010101010101) >> np.uint64(56) >= ENOUGH
-    if not enough.all():
-        ok, ends = np.zeros(len(held), bool), np.zeros((2, len(held)), "i8")
-        if enough.any():
-            few = lambda x: x[enough] if len(x) == len(held) else x
-            ok[enough], ends[0, enough], ends[1, enough] = stretches(few(a), few(b), same[enough])
-        return ok, ends[0], ends[1]
-    return stretches(a, b, same)
-
-
-def stretches(a: np.ndarray, b: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What agreeing() returns, for rows whose bytes are the same at these places."""
-    width = 2 * SPAN - 1
     beyond = (a == 0) | (b == 0)
-    same = same & ~beyond
+    same[beyond] = False
     # a place beyond either text spoils the stretch
     total = np.zeros((len(same), width + 1), "i2")
     np.cumsum(np.where(beyond, -SPAN, same.view("i1")), axis=1, dtype="i2", out=total[:, 1:])
@@ -344,11 +330,26 @@ def stretches(a: np.ndarray, b: np.ndarray, same: np.ndarray) -> tuple[np.ndarra
 
 
 def either_way(around: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """agreeing() of rows x and y or else of y and x: where places shift, these may differ by a shingle."""
-    ok, first, last = agreeing(around[x], around[y])
-    if not ok.all():
-        rest = np.flatnonzero(~ok)
-        ok[rest], first[rest], last[rest] = agreeing(around[y[rest]], around[x[rest]])
+    """agreeing() of rows x and y or else of y and x: where places shift, these may differ by a shingle.
+
+    Rows are WIDE bytes here, with zeros at their ends, so that a shift of all rows at once stays within them. Most pairs
+    haven't enough shingles in all either way, which eight bytes at once tell.
+    """
+    width, n = 2 * SPAN - 1, len(x)
+    a, b = around[x], around[y]
+    one, other = a.reshape(-1), b.reshape(-1)
+    same = one == other
+    for s in range(1, SHIFT + 1):
+        for found in (one[s:] == other[:-s], one[:-s] == other[s:]):
+            same[s:] |= found
+            same[:-s] |= found
+    total = same.view("u8").reshape(n, WIDE // 8).sum(axis=1) * np.uint64(0x0101010101010101) >> np.uint64(56)
+    rest = np.flatnonzero(total >= ENOUGH + WIDE - width)  # the zeros are equal
+    ok, first, last = np.zeros(n, bool), np.zeros(n, "i8"), np.zeros(n, "i8")
+    for p, q in ((a, b), (b, a)):
+        if len(rest):
+            ok[rest], first[rest], last[rest] = agreeing(p[rest, :width], q[rest, :width])
+            rest = rest[~ok[rest]]
     return ok, first, last
 
 
@@ -508,8 +509,8 @@ def frequent(around: np.ndarray, rows: np.ndarray, labels: Labels) -> Iterator[n
         for seekers, found in apart.values():
             for others, begin, n in found:
                 yield from compared(around, seekers, others, begin, n, labels)
-    for side in (1, -1):
-        rows = rows[np.argsort(np.ascontiguousarray(around[rows, SPAN - 1 :: side]).view(f"S{SPAN}").reshape(-1), kind="stable")]
+    for side, half in ((1, slice(SPAN - 1, 2 * SPAN - 1)), (-1, slice(SPAN - 1, None, -1))):
+        rows = rows[np.argsort(np.ascontiguousarray(around[rows, half]).view(f"S{SPAN}").reshape(-1), kind="stable")]
         rows = rows[np.argsort(labels.of[rows], kind="stable")]
         for step in range(1, NEXT + 1):
             same = labels.of[rows[:-step]] == labels.of[rows[step:]]
@@ -563,7 +564,9 @@ def linked(table: pa.Table) -> pa.Table:
     """
     table = table.sort_by([("key", "ascending"), ("text", "ascending"), ("at", "ascending")])
     key, text, at = (table[c].to_numpy() for c in ("key", "text", "at"))
-    around = np.frombuffer(b"".join(table["around"].to_pylist()), "u1").reshape(len(key), 2 * SPAN - 1)
+    width = 2 * SPAN - 1
+    around = np.zeros((len(key), WIDE), "u1")
+    around[:, :width] = np.frombuffer(b"".join(table["around"].to_pylist()), "u1").reshape(len(key), width)
     pairs: list[np.ndarray] = []
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     sizes = np.diff(np.append(first, len(key)))
@@ -595,7 +598,7 @@ def linked(table: pa.Table) -> pa.Table:
     seek = np.flatnonzero((np.repeat(sizes, sizes) > 2) & ~(whole & (lo == 0) & (hi == 2 * SPAN - 2)))
     seen = np.isin(leader, leader[seek])
     wider = []
-    for rows, partners, k in exact_spans(around, np.flatnonzero(seen), key, text) if len(seek) else ():
+    for rows, partners, k in exact_spans(around[:, :width], np.flatnonzero(seen), key, text) if len(seek) else ():
         new = (k < lo[rows]) | (k + SPAN - 1 > hi[rows])
         if new.any():
             rows, partners = rows[new], partners[new]
