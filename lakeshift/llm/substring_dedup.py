@@ -14,12 +14,13 @@ ranges, then, gathered from many units, by fine ones, so that they don't shrink
 keys in different texts; equal texts count once. (3) The texts of these windows are read again, and each window gets one
 byte for each shingle up to ``span`` - 1 to both sides; windows of a text with equal bytes become one, with a list of its
 places. (4) Windows of one key are compared: two are linked if some ``span`` shingles around c have a Jaccard
-similarity of 0.8 at least (41 of 46 shared; words may be missing or new: places may shift by up to two). Links are a
-spanning forest for each key, breadth-first from each window that isn't reached, so that no group becomes all its pairs.
+similarity of 0.8 at least (41 of 46 shared; words may be missing or new: places may shift by up to two). Links connect
+all that agree: windows meet those that aren't in their component yet, so that no group becomes all its pairs.
 In large groups only windows that share bytes to one side of the middle, shifted or not, are compared: all that can agree
-share some, and those that tell windows apart best are taken. Keys with more windows than a task should hold are dealt to salts, and each two salts are compared in a
-task, so that all windows of a key meet (agreement isn't transitive: no window can stand for those like it). What a
-window shares exactly with any other of its key, and not only with its neighbours in the forest, is found by hashes of
+share some, and those that tell windows apart best are taken (each two meet once where none do, as in texts of few
+words). Keys with more windows than a task should hold are dealt to salts, and each two salts are compared in a task, so
+that all windows of a key meet (agreement isn't transitive: no window can stand for those like it). What a
+window shares exactly with any other of its key, and not only with its partners, is found by hashes of
 its stretches and widens its span. (5) Links between texts and exact copies give the documents' classes.
 
 A shingle that repeats takes part in the minima once in ``span`` positions only, so that text that repeats a word or
@@ -672,7 +673,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(doc_id, class_id, n_links, n_copies, passages) for each row of docs.
 
     class_id: the least id of the documents linked with it, itself included. n_links: different texts that it is
-    linked with in the spanning forests (so the number of edges, not of all texts that are alike). n_copies: rows of
+    linked with (the links that connect its class and some for spans, not all texts that are alike). n_copies: rows of
     equal text, itself included. passages: repeated stretches, in words from 0, ends beyond, merged where they touch (a
     copy's whole text is one if it has 50 words).
     """
