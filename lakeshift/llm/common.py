@@ -66,15 +66,19 @@ def wide_hash(*columns: Column) -> list[Column]:
 
 #: A node is a hub if it has more neighbours than this and than this share of all links (so there are few hubs).
 HUB, HUB_SHARE = 1000, 1 / 1000
+#: So many nodes are broadcast, hubs or not: then no round shuffles a link by its ends.
+FEW = 100_000
 
 
 def with_least(rows: DataFrame, least: DataFrame, limit: int) -> DataFrame:
     """rows (a, b) with m of least (a, m, n), where a has n neighbours in all.
 
     Hubs (n over the limit, at most twice the links divided by it) are broadcast, so that their rows stay where they
-    are; the others are joined.
+    are; the others are joined. All are hubs if the limit is 0.
     """
     hubs = F.broadcast(least.where(F.col("n") > limit).select("a", "m"))
+    if not limit:
+        return rows.join(hubs, "a")
     others = least.where(F.col("n") <= limit).select("a", "m")
     return rows.join(hubs, "a").unionByName(rows.join(hubs.select("a"), "a", "left_anti").join(others, "a"))
 
@@ -83,25 +87,24 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """Connected components of the links (a, b), any two orderable ids: (node, component), the component's least node.
 
     Alternates large-star and small-star steps (Kiveris et al., 2014); each shrinks the depth of the trees
-    geometrically, and no step gathers a node's neighbours in one row or a hub's in one task. Rows are written to the
-    checkpoint folder after each round. Nodes without links aren't returned. Self-links and repeated links are harmless.
+    geometrically, and no step gathers a node's neighbours in one row or a hub's in one task. What a step needs twice is
+    written to the checkpoint folder, so that a round has three shuffles where nodes are few (those of the least
+    neighbours, twice, and of the new links), and it is the last if every larger node has one link. Nodes without links
+    aren't returned. Self-links and repeated links are harmless.
     """
     edges = checkpointed(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    state = lambda: edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    now = state()
     for _ in range(rounds):
-        before, limit = now, max(HUB, int(now[0] * HUB_SHARE))
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+        both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+        least = checkpointed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n")))
+        nodes, ends, deep = least.agg(F.count("*"), F.sum("n"), F.count_if((F.col("m") != F.col("a")) & (F.col("n") > 1))).first()
+        if not deep:
+            return least.select(F.col("a").alias("node"), F.col("m").alias("component"))
+        limit = 0 if nodes <= FEW else max(HUB, int(ends // 2 * HUB_SHARE))
+        kept = checkpointed if limit else lambda df: df  # what takes no shuffle is as well made twice
         # large-star: larger neighbours of each node go to the least node of its neighbourhood
-        large = with_least(both.where(F.col("b") > F.col("a")), least, limit).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = kept(with_least(edges.select(F.col("b").alias("a"), F.col("a").alias("b")), least, limit).select(F.col("b").alias("a"), F.col("m").alias("b")))
         # small-star: a node and its smaller neighbours go to the least of them
-        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = with_least(large, low, limit)
-        edges = checkpointed(small.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).where(F.col("a") != F.col("b")).distinct())
-        now = state()
-        if now == before:
-            break
-    else:
-        raise RuntimeError("the components did not settle")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+        low = checkpointed(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")))
+        small = with_least(large, low, limit).where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = checkpointed(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
+    raise RuntimeError("the components did not settle")

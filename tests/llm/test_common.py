@@ -37,6 +37,37 @@ def test_components(spark, monkeypatch, hub):
     assert got(spark, links) == want
 
 
+@pytest.mark.parametrize("hub", [1000, 3])
+def test_components_of_many_nodes(spark, monkeypatch, hub):
+    monkeypatch.setattr(c, "FEW", 0)
+    monkeypatch.setattr(c, "HUB", hub)
+    rng = random.Random(7)
+    links = [(k, k + 1) for k in range(100, 130)] + [(k, 500) for k in range(501, 540)] + [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(60)]
+    links = [(a, b) for a, b in links if a != b]
+    assert got(spark, links + links[:5]) == brute(links)
+
+
+def stages(spark, run):
+    """How many stages have run meanwhile."""
+    status = spark.sparkContext.statusTracker()
+
+    def mark():
+        spark.sparkContext.setJobGroup(group := f"mark {random.random()}", "")
+        spark.sparkContext.parallelize([1], 1).count()
+        return status.getJobInfo(status.getJobIdsForGroup(group)[0]).stageIds[0]
+
+    first = mark()
+    run()
+    found = [status.getStageInfo(k) for k in range(first + 1, mark())]
+    return sum(x is not None and x.numCompletedTasks > 0 for x in found)
+
+
+def test_a_round_has_few_stages(spark):
+    star, path = [(1, k) for k in range(2, 50)], [(100 + k, 101 + k) for k in range(6)]
+    counts = [stages(spark, lambda links=links: got(spark, links)) for links in (star, path)]
+    assert counts[0] <= 10 and counts[1] <= 50, counts  # a step's rows are written, not made again
+
+
 def test_no_links(spark):
     assert got(spark, [(1, 1)]) == {}
 
